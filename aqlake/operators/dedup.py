@@ -30,6 +30,10 @@ def latest_per_key(
     and written once; the rows then meet that small table in an equi-join.
     Spark broadcasts it if its written size allows, and otherwise AQE can split
     a hot key's rows over several tasks.
+
+    ``df`` is evaluated twice and should be a stored table. The comparison is
+    "not below the highest" rather than "equal", so rows that are stamped with
+    the current time on each evaluation are still kept.
     """
     if ties not in ("keep", "one"):
         raise ValueError(f"ties must be 'keep' or 'one', not {ties!r}")
@@ -41,14 +45,14 @@ def latest_per_key(
     if ties == "keep":
         newest = grouped.agg(
             F.max(F.col(order_by).isNull()).alias("_has_null"),
-            F.max(order_by).alias("_max"),
-        ).select(*key_names, F.when(~F.col("_has_null"), F.col("_max")).alias("_newest"))
-        same_value = F.col(order_by).eqNullSafe(F.col("_newest"))
+            F.max(order_by).alias("_newest"),
+        )
+        is_newest = F.when(F.col("_has_null"), F.col(order_by).isNull()).otherwise(F.col(order_by) >= F.col("_newest"))
     else:
         rank = F.struct(F.col(order_by).isNull().alias("n"), order_by, *tie_break)
         newest = grouped.agg(F.max(rank).alias("_newest"))
-        same_value = rank.eqNullSafe(F.col("_newest"))
+        is_newest = rank >= F.col("_newest")
 
     newest = materialize(newest, "newest")
     same_key = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key_names)]
-    return df.join(newest, reduce(lambda a, b: a & b, [*same_key, same_value]), "left_semi")
+    return df.join(newest, reduce(lambda a, b: a & b, [*same_key, is_newest]), "left_semi")

@@ -89,19 +89,22 @@ def document_name(feed: Feed, run_ts: Column, part: Column, parts: Column, zone:
 
 
 def write_documents(documents: DataFrame, feed: Feed, run_ts: str, root: str) -> None:
-    """Write each document to its own file below ``<root>/feed=<feed>/document=<name>/``.
+    """Write each document to its own file below ``<root>/feed=<feed>/run_date=<day>/document=<name>/``.
 
-    Runs within one minute share a name, and so a folder, but not a file.
+    The day level keeps listing cheap: Spark lists days in parallel, and old
+    days can be moved away whole. Runs within one minute share a name, and so a
+    folder, but not a file.
     """
     (
         documents.select(
             F.lit(feed.name).alias("feed"),
+            F.to_date(run_ts).alias("run_date"),
             document_name(feed, F.col(run_ts), F.col("part"), F.col("parts")).alias("name"),
             F.col("document").alias("value"),
         )
         .withColumnRenamed("name", "document")
         .write.mode("append")
-        .partitionBy("feed", "document")
+        .partitionBy("feed", "run_date", "document")
         .option("maxRecordsPerFile", 1)
         .text(root)
     )

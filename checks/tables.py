@@ -7,6 +7,8 @@ line items are used as plain keyed tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,25 +176,28 @@ def wide(spark: SparkSession, sf_dir: str, coord_match: str = "prefix") -> DataF
 _stored: dict[tuple[str, str, str], str] = {}
 
 
-def _store_once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Path of a stored derived table, written on first use in this session."""
+def store_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of stored derived data, written on first use in this session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
+        write(path)
         _stored[key] = path
     return _stored[key]
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """Fact and dimensions as stored tables, as the dashboard finds them."""
-    wide_path = _store_once(spark, sf_dir, "wide", lambda: wide(spark, sf_dir))
+    wide_path = store_once(spark, sf_dir, "wide", wide(spark, sf_dir).write.parquet)
     built = build_star(spark.read.parquet(wide_path))
     return Star(*[
-        spark.read.parquet(_store_once(spark, sf_dir, name, lambda df=df: df))
+        spark.read.parquet(store_once(spark, sf_dir, name, df.write.parquet))
         for name, df in zip(("conditions_fact", "location_dim", "date_dim"), built)
     ])
 
 
 def stored_day_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_store_once(spark, sf_dir, "day_agg", lambda: day_agg(*stored_star(spark, sf_dir))))
+    """Hourly averages, stored by day as the serving queries filter them."""
+    averages = day_agg(*stored_star(spark, sf_dir)).hint("rebalance", "measurement_date")
+    path = store_once(spark, sf_dir, "day_agg", averages.write.partitionBy("measurement_date").parquet)
+    return spark.read.schema(averages.schema).parquet(path)

@@ -46,14 +46,15 @@ def build_envelope(
 ) -> DataFrame:
     """One ``{"results": [...]}`` document per run, elements sorted by ``order_by``.
 
-    ``order_by`` has to tell the records of a run apart. A run with more than
-    ``max_elements`` records becomes several documents, so no task ever holds a
-    whole hot run: records are spread by the hash of ``order_by``. Each such
-    document also carries ``dt``, the time of the run's first record, and its
-    ``part``; all parts therefore get one record time when staged. Deliver the
-    parts of a run together: deduplication keeps rows of equal ingestion time.
-
-    Returns the run columns, ``part``, ``parts``, ``n_elements`` and ``document``.
+    A run with more than ``max_elements`` records becomes several documents of
+    about that size, so no task ever holds a whole hot run. Each such document
+    also carries ``dt``, the time of the run's first record, and its ``part``;
+    all parts therefore get one record time when staged. Deliver the parts of a
+    run together: deduplication keeps rows of equal ingestion time.
+
+    ``records`` is read twice (counted, then collected); store it first if it is
+    costly to derive. Returns the run columns, ``part``, ``parts``,
+    ``n_elements`` and ``document``.
     """
     rows = records.select(*run, F.struct(*order_by).alias("_order"), dt.alias("_dt"), element.alias("_element"))
     # Counted first, written small, then joined: see ``materialize``.
@@ -62,39 +63,61 @@ def build_envelope(
     split = sizes.where("parts > 1")
     if split.isEmpty():
         sizes = sizes.withColumn("dt", F.lit(None).cast("bigint"))
+        rows = rows.withColumn("_chunk", F.lit(0)).withColumn("_copies", F.lit(1))
     else:
         first = rows.join(split, list(run), "left_semi").groupBy(*run).agg(F.min_by("_dt", "_order").alias("dt"))
         sizes = materialize(sizes.join(first, list(run), "left"), "run-sizes")
-    part = F.pmod(F.xxhash64("_order"), F.col("parts")).cast("int")
+        rows = _chunked_copies(rows, [*run, "_order", "_dt", "_element"], max(1, max_elements // 10))
+    part = F.pmod(F.xxhash64("_order", "_chunk"), F.col("parts")).cast("int")
     documents = (
         rows.join(sizes, list(run), "inner")
         .groupBy(*run, "parts", "dt", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("_order", "_element"))).alias("_sorted"))
-        .select(*run, "part", "parts", "dt", F.size("_sorted").alias("n_elements"),
-                F.col("_sorted._element").alias("results"))
+        .agg(F.array_sort(F.collect_list(F.struct("_order", "_chunk", "_copies", "_element"))).alias("_sorted"))
+        .withColumn(
+            "results", F.flatten(F.transform("_sorted", lambda r: F.array_repeat(r["_element"], r["_copies"])))
+        )
+        .select(*run, "part", "parts", "dt", F.size("results").alias("n_elements"), "results")
     )
     options = {"ignoreNullFields": "false", "pretty": str(pretty).lower()}
     whole = F.to_json(F.struct("results"), options)
-    split = F.to_json(F.struct("dt", "part", "parts", "results"), options)
+    with_part = F.to_json(F.struct("dt", "part", "parts", "results"), options)
     return documents.select(
         *run, "part", "parts", "n_elements",
-        F.when(F.col("parts") == 1, whole).otherwise(split).alias("document"),
+        F.when(F.col("parts") == 1, whole).otherwise(with_part).alias("document"),
     )
 
 
+def _chunked_copies(rows: DataFrame, columns: Sequence[str], chunk: int) -> DataFrame:
+    """Identical rows as ``_copies`` counts of at most ``chunk``, numbered by ``_chunk``.
+
+    Hashing spreads different records over the parts of a run, but copies of one
+    record all hash alike; cut into chunks they spread too. Counting combines
+    map-side, so many copies are never shuffled.
+    """
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = counted.select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / chunk).cast("int") - 1)).alias("_chunk"))
+    left = F.col("_n") - F.col("_chunk") * chunk
+    return chunks.withColumn("_copies", F.least(left, F.lit(chunk)).cast("int")).drop("_n")
+
+
 def document_name(feed: Feed, run_ts: Column, part: Column, parts: Column, zone: str = "Europe/Warsaw") -> Column:
     """``<local minute>_<file name>``; parts of a split run add ``_<part>``."""
     name = F.concat_ws("_", local_stamp(run_ts, zone), F.lit(feed.file_name))
     return F.when(parts == 1, name).otherwise(F.format_string("%s_%05d", name, part))
 
 
-def write_documents(documents: DataFrame, feed: Feed, run_ts: str, root: str) -> None:
+def write_documents(documents: DataFrame, feed: Feed, run_ts: str, root: str, tasks: int | None = None) -> None:
     """Write each document to its own file below ``<root>/feed=<feed>/run_date=<day>/document=<name>/``.
 
     The day level keeps listing cheap: Spark lists days in parallel, and old
     days can be moved away whole. Runs within one minute share a name, and so a
     folder, but not a file.
+
+    Many small documents are bound by file creation, not by size, and AQE would
+    put them into one task: ``tasks`` spreads them over that many.
     """
+    if tasks:
+        documents = documents.repartition(tasks)
     (
         documents.select(
             F.lit(feed.name).alias("feed"),

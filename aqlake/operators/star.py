@@ -43,11 +43,25 @@ def conditions_fact(
     )
 
 
+DAY = "record_date"
+
+
 def star_join(fact: DataFrame, locations: DataFrame, dates: DataFrame) -> DataFrame:
-    """Fact with both dimensions. Keys are not unique where places share a register match."""
-    return fact.join(locations, F.col("location_fk") == F.col("location_pk"), "inner").join(
-        dates, F.col("date_fk") == F.col("date_pk"), "inner"
-    )
+    """Fact with both dimensions. Keys are not unique where places share a register match.
+
+    Dimensions stored by day list each day's members. If both sides have the day
+    column it joins the key: a place seen every day is then spread over its days.
+    """
+    return _lookup(_lookup(fact, locations, "location_fk", "location_pk"), dates, "date_fk", "date_pk")
+
+
+def _lookup(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
+    if DAY not in dim.columns:
+        return fact.join(dim, F.col(fk) == F.col(pk), "inner")
+    if DAY not in fact.columns:
+        raise ValueError("a dimension stored by day needs a fact stored by day; use the whole dimension instead")
+    dim = dim.withColumnRenamed(DAY, "_day")
+    return fact.join(dim, (F.col(fk) == F.col(pk)) & (F.col(DAY) == F.col("_day")), "inner").drop("_day")
 
 
 def day_agg(
@@ -57,10 +71,13 @@ def day_agg(
     measures: Sequence[str] = AVERAGED_MEASURES,
 ) -> DataFrame:
     """Averages per city, date and measuring time; one ``<measure>_avg`` column each."""
+    def day(df: DataFrame) -> list[str]:
+        return [c for c in df.columns if c == DAY]
+
     joined = star_join(
-        fact.select("date_fk", "location_fk", *measures),
-        locations.select("location_pk", "city"),
-        dates.select("date_pk", "measurement_time"),
+        fact.select("date_fk", "location_fk", *measures, *day(fact)),
+        locations.select("location_pk", "city", *day(locations)),
+        dates.select("date_pk", "measurement_time", *day(dates)),
     )
     return joined.groupBy("city", F.to_date("measurement_time").alias("measurement_date"), "measurement_time").agg(
         *[F.avg(m).alias(f"{m}_avg") for m in measures]

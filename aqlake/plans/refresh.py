@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aqlake.feeds import POLLUTION, WEATHER
-from aqlake.operators.star import PLACE, conditions_fact, day_agg, location_dim
-from aqlake.plans.conditions import build_star, conditions_wide, curate, with_record_date
+from aqlake.operators.star import PLACE, conditions_fact, date_dim, day_agg, location_dim
+from aqlake.plans.conditions import conditions_wide, curate, with_record_date
 from aqlake.sources import schemas
 from aqlake.streaming.ingest import read_staging
 
@@ -35,6 +35,8 @@ MAX_LISTED_DAYS = 10_000
 
 _STORED_BY = [T.StructField("version", T.LongType()), T.StructField("record_date", T.DateType())]
 _TABLES = {
+    "curated_pollution": schemas.curated(POLLUTION),
+    "curated_weather": schemas.curated(WEATHER),
     "wide": schemas.WIDE,
     "conditions_fact": schemas.FACT,
     "day_agg": schemas.DAY_AGG,
@@ -106,7 +108,10 @@ def refresh(
     documents only (a document's time decides its day), so no other day is read.
     One refresh at a time.
     """
-    staging = {feed.name: read_staging(spark, path) for feed, path in ((POLLUTION, pollution_path), (WEATHER, weather_path))}
+    staging = {
+        POLLUTION.name: read_staging(spark, pollution_path),
+        WEATHER.name: read_staging(spark, weather_path),
+    }
     if days is None:
         known = _versions(spark, root).select("record_date")
         replaced = reduce(DataFrame.unionAll, [known, *[s.select("record_date") for s in staging.values()]]).distinct()
@@ -123,22 +128,14 @@ def refresh(
         df.hint("rebalance", "record_date").write.mode("overwrite").partitionBy("record_date").parquet(path)
         return _stored(spark, root, table).where(F.col("version") == version).drop("version")
 
-    wide = store(
-        with_record_date(
-            conditions_wide(
-                curate(staging[POLLUTION.name], POLLUTION),
-                curate(staging[WEATHER.name], WEATHER),
-                register,
-                coord_match,
-            )
-        ),
-        "wide",
-    )
-    # The rest reads the stored wide rows, so the feeds are joined once.
-    star = build_star(wide)
-    fact = conditions_fact(wide, extra=("record_date",))
-    store(fact, "conditions_fact")
-    store(day_agg(*star).withColumn("record_date", F.col("measurement_date")), "day_agg")
-    store(with_record_date(star.dates, "measurement_time"), "dates")
-    store(location_dim(wide, (*PLACE, "record_date")), "locations")
+    curated = [
+        store(with_record_date(curate(staging[feed.name], feed)), f"curated_{feed.name}") for feed in (POLLUTION, WEATHER)
+    ]
+    wide = store(with_record_date(conditions_wide(*curated, register, coord_match)), "wide")
+    # Each step reads what the one before it stored: documents are parsed once,
+    # the feeds are joined once, and a lost executor never sends work further back.
+    fact = store(conditions_fact(wide, extra=("record_date",)), "conditions_fact")
+    dates = store(with_record_date(date_dim(wide), "measurement_time"), "dates")
+    locations = store(location_dim(wide, (*PLACE, "record_date")), "locations")
+    store(day_agg(fact, locations, dates).withColumn("record_date", F.col("measurement_date")), "day_agg")
     replaced.select("record_date").coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={version}")

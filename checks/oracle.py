@@ -174,5 +174,15 @@ ORACLE = {
     "stream_quarantine": "SELECT DISTINCT conv_id FROM conversations",
     "refresh_incremental": f"{_W2} {_AGG}",
     "refresh_star": f"{_W2} {_STAR}",
+    "refresh_dims": f"""{_W2} SELECT DISTINCT 'place' AS kind, city AS member FROM w
+      UNION ALL SELECT DISTINCT 'time', strftime(record_ts, '%Y-%m-%d %H:%M:%S') FROM w""",
+    "curated_tables": f"""{_W2} SELECT 'pollution' AS feed, CAST(record_ts AS TIMESTAMP) AS record_ts, lat, lon,
+        n AS whole, high AS measure FROM l
+      UNION ALL SELECT 'weather', record_ts, lat, lon, wind_deg, temp FROM w""",
+    "sql_over_views": f"""{_W2}, b AS (SELECT city, prominent_pollutant AS label, count(*) AS n,
+        max(record_ts) AS last_seen FROM w WHERE meas_year = 2024 GROUP BY 1, 2)
+      SELECT city, c_nationkey AS population, label, n, last_seen, round(aqi, 6) AS aqi
+      FROM b JOIN customer ON city = c_name
+      JOIN (SELECT city, avg(aqi) AS aqi FROM w GROUP BY city) USING (city)""",
     "refresh_full": f"{_W} {_AGG}",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqlake.feeds import AVERAGED_MEASURES, POLLUTANTS, POLLUTION, WEATHER
+from aqlake.feeds import AVERAGED_MEASURES, POLLUTION, WEATHER, Feed
 from aqlake.functions.labels import argmax_label, register_functions
 from aqlake.functions.timeparts import calendar_parts, local_stamp
 from aqlake.operators import envelope, serve, star
@@ -18,6 +18,7 @@ from aqlake.plans.conditions import conditions_wide, curate
 from aqlake.plans.refresh import read_current, read_date_dim, read_location_dim
 from aqlake.plans.refresh import refresh as refresh_tables
 from aqlake.plans.register_load import load_register
+from aqlake.plans.views import create_views
 from aqlake.session import scratch_path
 from aqlake.sources.documents import file_inventory as list_files
 from aqlake.sources.documents import stage_documents
@@ -342,9 +343,14 @@ def register_load(spark: SparkSession, sf: str) -> DataFrame:
 # Files and streams ----------------------------------------------------------
 
 
+def _deliver(spark: SparkSession, documents: DataFrame, feed: Feed, run_ts: str, root: str) -> None:
+    """Write documents for ingest; they are small, so file creation is spread over all cores."""
+    envelope.write_documents(documents, feed, run_ts, root, tasks=spark.sparkContext.defaultParallelism)
+
+
 def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "raw")
-    envelope.write_documents(t.event_documents(t.table(spark, sf, "events")), POLLUTION, "hour", root)
+    _deliver(spark, t.event_documents(t.table(spark, sf, "events")), POLLUTION, "hour", root)
     return list_files(spark, f"{root}/feed={POLLUTION.name}").select(
         F.regexp_extract("path", "document=([^/]+)/", 1).alias("name"), (F.col("length") > 0).alias("has_body")
     )
@@ -362,9 +368,8 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     events = t.table(spark, sf, "events")
     root, staging, checkpoint = (scratch_path(spark, n) for n in ("raw", "staging", "checkpoint"))
     for delivery, rows in enumerate((events, _corrected(events))):
-        documents = t.event_documents(rows)
-        envelope.write_documents(documents, WEATHER, "hour", f"{root}/delivery={delivery}")
-        ingest(spark, root, WEATHER, staging, checkpoint).awaitTermination()
+        _deliver(spark, t.event_documents(rows), WEATHER, "hour", f"{root}/delivery={delivery}")
+        ingest(spark, root, WEATHER, staging, checkpoint, gather_days=True).awaitTermination()
     latest = latest_per_key(read_staging(spark, staging), ["record_ts"], "ingestion_ts")
     rows = flatten_results(latest, t.EVENT_FIELDS, after=["ingestion_ts", "source_filename", "stg_file_md5"])
     return rows.select("event_id", "user_id", "event_type", "value", "k")
@@ -396,9 +401,8 @@ def _deliver_and_refresh(spark: SparkSession, sf: str, out: str) -> None:
         placed = t.placed_readings(spark, sf, rows)
         for feed in (POLLUTION, WEATHER):
             landing = f"{raw}/{feed.name}"
-            documents = t.feed_documents(placed, feed.name)
-            envelope.write_documents(documents, feed, "record_ts", f"{landing}/delivery={delivery}")
-            ingest(spark, landing, feed, staging[feed.name], checkpoints[feed.name]).awaitTermination()
+            _deliver(spark, t.feed_documents(placed, feed.name), feed, "record_ts", f"{landing}/delivery={delivery}")
+            ingest(spark, landing, feed, staging[feed.name], checkpoints[feed.name], gather_days=True).awaitTermination()
         refresh_landed(
             spark, staging["pollution"], staging["weather"], lambda: t.places(spark, sf), out, refresh_checkpoint
         ).awaitTermination()
@@ -411,14 +415,52 @@ def refresh_incremental(spark: SparkSession, sf: str) -> DataFrame:
 def refresh_star(spark: SparkSession, sf: str) -> DataFrame:
     """Fact and dimensions after incremental refreshes, joined."""
     out = _refreshed(spark, sf)
-    joined = star.star_join(
-        read_current(spark, out, "conditions_fact").drop("record_date"),
-        read_location_dim(spark, out),
-        read_date_dim(spark, out),
-    )
+    joined = star.star_join(*[read_current(spark, out, name) for name in ("conditions_fact", "locations", "dates")])
     return joined.select("measurement_time", "city", "lat", "lon", "aqi", "prominent_pollutant", "weather_con")
 
 
+def refresh_dims(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole dimensions put together from the days' lists."""
+    out = _refreshed(spark, sf)
+    places = read_location_dim(spark, out).select(F.lit("place").alias("kind"), F.col("city").alias("member"))
+    times = read_date_dim(spark, out).select(F.lit("time").alias("kind"), F.col("measurement_time").cast("string"))
+    return places.unionAll(times)
+
+
+def curated_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Both flattened feeds as last delivered."""
+    out = _refreshed(spark, sf)
+    air = read_current(spark, out, "curated_pollution").select(
+        F.lit("pollution").alias("feed"), "record_ts", "lat", "lon", F.col("aqi").alias("whole"), F.col("pm10").alias("measure")
+    )
+    sky = read_current(spark, out, "curated_weather").select(
+        F.lit("weather").alias("feed"), "record_ts", "lat", "lon", F.col("wind_deg").alias("whole"), F.col("temp").alias("measure")
+    )
+    return air.unionAll(sky)
+
+
+def sql_over_views(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's SQL text over the refreshed tables: busiest label of every city, with its averages."""
+    create_views(spark, _refreshed(spark, sf), register=t.places(spark, sf))
+    return serve.run_sql(
+        spark,
+        """
+        WITH labelled AS (
+          SELECT l.city, f.prominent_pollutant AS label, count(*) AS n, max(d.measurement_time) AS last_seen
+          FROM conditions_fact f
+          JOIN location_dim l ON f.location_fk = l.location_pk
+          JOIN date_dim d ON f.date_fk = d.date_pk
+          WHERE d.meas_year = :year
+          GROUP BY l.city, f.prominent_pollutant)
+        SELECT c.city, c.population, b.label, b.n, b.last_seen, round(a.aqi, 6) AS aqi
+        FROM cities_pop c
+        JOIN labelled b ON c.city = b.city
+        JOIN (SELECT city, avg(aqi_avg) AS aqi FROM conditions_fact_day_agg GROUP BY city) a ON c.city = a.city
+        """,
+        {"year": 2024},
+    )
+
+
 def refresh_full(spark: SparkSession, sf: str) -> DataFrame:
     """The same tables rebuilt at once from all documents."""
     events = t.table(spark, sf, "events")
@@ -474,5 +516,8 @@ QUERIES = {
     "stream_quarantine": stream_quarantine,
     "refresh_incremental": refresh_incremental,
     "refresh_star": refresh_star,
+    "refresh_dims": refresh_dims,
+    "curated_tables": curated_tables,
+    "sql_over_views": sql_over_views,
     "refresh_full": refresh_full,
 }

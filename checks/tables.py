@@ -186,18 +186,33 @@ def store_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str
     return _stored[key]
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written on first use in this session and then only read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        df = build()
+        writer = df.write
+        if name == "day_agg":  # by day, as the serving queries filter it
+            writer = df.hint("rebalance", "measurement_date").write.partitionBy("measurement_date")
+        path = store_once(spark, sf_dir, name, writer.parquet)
+        _tables[key] = spark.read.schema(df.schema).parquet(path)
+    return _tables[key]
+
+
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """Fact and dimensions as stored tables, as the dashboard finds them."""
-    wide_path = store_once(spark, sf_dir, "wide", wide(spark, sf_dir).write.parquet)
-    built = build_star(spark.read.parquet(wide_path))
-    return Star(*[
-        spark.read.parquet(store_once(spark, sf_dir, name, df.write.parquet))
-        for name, df in zip(("conditions_fact", "location_dim", "date_dim"), built)
-    ])
+    def built() -> Star:
+        return build_star(stored_table(spark, sf_dir, "wide", lambda: wide(spark, sf_dir)))
+
+    return Star(
+        stored_table(spark, sf_dir, "conditions_fact", lambda: built().fact),
+        stored_table(spark, sf_dir, "location_dim", lambda: built().locations),
+        stored_table(spark, sf_dir, "date_dim", lambda: built().dates),
+    )
 
 
 def stored_day_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly averages, stored by day as the serving queries filter them."""
-    averages = day_agg(*stored_star(spark, sf_dir)).hint("rebalance", "measurement_date")
-    path = store_once(spark, sf_dir, "day_agg", averages.write.partitionBy("measurement_date").parquet)
-    return spark.read.schema(averages.schema).parquet(path)
+    return stored_table(spark, sf_dir, "day_agg", lambda: day_agg(*stored_star(spark, sf_dir)))

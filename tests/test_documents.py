@@ -138,6 +138,17 @@ def test_hot_run_is_split_without_loss(spark):
     assert flat.count() == 1005 and flat.where("source_filename LIKE '0-%'").select("place").distinct().count() == 1000
 
 
+def test_copies_of_one_record_are_spread(spark):
+    rows = records(spark, 10).unionByName(records(spark, 1).crossJoin(spark.range(990)).drop("id"))
+    documents = envelope(rows, max_elements=100)
+    sizes = [r.n_elements for r in documents.collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 300
+    back = flatten_results(
+        documents.withColumn("json_data", F.parse_json("document")), ELEMENT_FIELDS, before=["run"], after=[]
+    )
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, rows.select("run", "place", "name", "maybe").collect()))
+
+
 def test_written_documents(spark):
     root = scratch_path(spark, "raw")
     documents = spark.sql(

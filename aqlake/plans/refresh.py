@@ -39,7 +39,8 @@ _TABLES = {
     "curated_weather": schemas.curated(WEATHER),
     "wide": schemas.WIDE,
     "conditions_fact": schemas.FACT,
-    "day_agg": schemas.DAY_AGG,
+    # Its date is the day it is stored under, so it is not stored a second time.
+    "day_agg": T.StructType([f for f in schemas.DAY_AGG.fields if f.name != "measurement_date"]),
     "dates": schemas.DATE_DIM,
     "locations": schemas.LOCATION_DIM,
 }
@@ -83,6 +84,15 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     return rows.where(reduce(lambda a, b: a | b, current, F.lit(False))).drop("version")
 
 
+def read_day_agg(spark: SparkSession, root: str) -> DataFrame:
+    """The hourly averages; a filter on ``measurement_date`` opens that day's files only."""
+    return (
+        read_current(spark, root, "day_agg")
+        .withColumnRenamed("record_date", "measurement_date")
+        .select(*schemas.DAY_AGG.names)
+    )
+
+
 def read_date_dim(spark: SparkSession, root: str) -> DataFrame:
     """The date dimension: days share no measuring time, so their lists just add up."""
     return read_current(spark, root, "dates").drop("record_date")
@@ -137,5 +147,5 @@ def refresh(
     fact = store(conditions_fact(wide, extra=("record_date",)), "conditions_fact")
     dates = store(with_record_date(date_dim(wide), "measurement_time"), "dates")
     locations = store(location_dim(wide, (*PLACE, "record_date")), "locations")
-    store(day_agg(fact, locations, dates).withColumn("record_date", F.col("measurement_date")), "day_agg")
+    store(day_agg(fact, locations, dates).withColumnRenamed("measurement_date", "record_date"), "day_agg")
     replaced.select("record_date").coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={version}")

@@ -15,7 +15,7 @@ from aqlake.operators.joins import attach_register, join_feeds, unmatched_counts
 from aqlake.operators.quality import split_not_null
 from aqlake.operators.upsert import upsert as upsert_rows
 from aqlake.plans.conditions import conditions_wide, curate
-from aqlake.plans.refresh import read_current, read_date_dim, read_location_dim
+from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim
 from aqlake.plans.refresh import refresh as refresh_tables
 from aqlake.plans.register_load import load_register
 from aqlake.plans.views import create_views
@@ -409,7 +409,7 @@ def _deliver_and_refresh(spark: SparkSession, sf: str, out: str) -> None:
 
 
 def refresh_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(read_current(spark, _refreshed(spark, sf), "day_agg"))
+    return _rounded(read_day_agg(spark, _refreshed(spark, sf)))
 
 
 def refresh_star(spark: SparkSession, sf: str) -> DataFrame:
@@ -473,7 +473,7 @@ def refresh_full(spark: SparkSession, sf: str) -> DataFrame:
         staged = stage_documents(t.as_files(documents, feed, "record_ts"), feed)
         staged.write.partitionBy("record_date").parquet(staging[feed.name])
     refresh_tables(spark, staging["pollution"], staging["weather"], t.places(spark, sf), out)
-    return _rounded(read_current(spark, out, "day_agg"))
+    return _rounded(read_day_agg(spark, out))
 
 
 QUERIES = {

@@ -1,10 +1,12 @@
 import itertools
+import re
 
 import pytest
 
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators import serve
-from aqlake.plans.refresh import list_days, read_current, read_date_dim, read_location_dim, refresh
+from aqlake.plans.refresh import list_days, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
+from aqlake.plans.views import create_views
 from aqlake.sources import schemas
 from aqlake.streaming.ingest import ingest, read_quarantine, read_staging
 from aqlake.streaming.refresh import refresh_landed
@@ -113,7 +115,7 @@ def test_later_delivery_refreshes_its_day(lake):
     lake.land_both(shapes.HOUR, aqi=5, temp=9.0)
     lake.run()
     check_against_full(lake)
-    averages = read_current(lake.spark, lake.path("derived"), "day_agg")
+    averages = read_day_agg(lake.spark, lake.path("derived"))
     assert [tuple(r) for r in serve.series_weather(averages, "A", "2024-01-01").collect()] == [(0, 5.0, 9.0, 2.5)]
     assert [tuple(r) for r in serve.series_weather(averages, "A", "2024-01-02").collect()] == [(0, 2.0, 3.5, 2.5)]
 
@@ -191,6 +193,29 @@ def test_stored_partitions_are_pruned(lake):
     lake.run()
     lake.land_both(shapes.HOUR, aqi=4)
     lake.run()
-    averages = read_current(lake.spark, lake.path("derived"), "day_agg")
-    plan = averages._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((" in plan and "version" in plan.split("PartitionFilters")[1]
+    averages = read_day_agg(lake.spark, lake.path("derived"))
+    assert [(f.name, f.dataType) for f in averages.schema] == [(f.name, f.dataType) for f in schemas.DAY_AGG]
+    picked = serve.series_weather(averages, "A", "2024-01-02")
+    filters = picked._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+    # The picked day was last refreshed by the first version: the second is not opened.
+    assert re.search(r"\(version#\d+L = 1\)", filters) and "(record_date#" in filters
+
+
+def test_sql_views(lake):
+    lake.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    lake.run()
+    names = create_views(
+        lake.spark, lake.path("derived"), lake.path("staging", "pollution"), lake.path("staging", "weather"), lake.register()
+    )
+    expected = {
+        "final_conditions_wide": schemas.WIDE, "conditions_fact": schemas.FACT, "date_dim": schemas.DATE_DIM,
+        "location_dim": schemas.LOCATION_DIM, "conditions_fact_day_agg": schemas.DAY_AGG,
+        "curated_pollution": schemas.curated(POLLUTION), "curated_weather": schemas.curated(WEATHER),
+        "cities_pop": schemas.REGISTER,
+    }
+    for name, schema in expected.items():
+        assert lake.spark.table(name).schema.names == schema.names
+        assert lake.spark.table(name).count() > 0
+    assert set(names) == {*expected, "staging_pollution", "staging_weather"}
+    labels = lake.spark.sql("SELECT DISTINCT prominent_index(no, no2, o3, so2, pm2_5, pm10, nh3) FROM conditions_fact")
+    assert [r[0] for r in labels.collect()] == ["NO"]

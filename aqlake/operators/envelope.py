@@ -63,19 +63,19 @@ def build_envelope(
     split = sizes.where("parts > 1")
     if split.isEmpty():
         sizes = sizes.withColumn("dt", F.lit(None).cast("bigint"))
-        rows = rows.withColumn("_chunk", F.lit(0)).withColumn("_copies", F.lit(1))
+        rows = rows.withColumn("_chunk", F.lit(0)).withColumn("_elements", F.array("_element"))
     else:
         first = rows.join(split, list(run), "left_semi").groupBy(*run).agg(F.min_by("_dt", "_order").alias("dt"))
         sizes = materialize(sizes.join(first, list(run), "left"), "run-sizes")
         rows = _chunked_copies(rows, [*run, "_order", "_dt", "_element"], max(1, max_elements // 10))
     part = F.pmod(F.xxhash64("_order", "_chunk"), F.col("parts")).cast("int")
+    # sort_array, not array_sort: the latter compares through an interpreted lambda.
+    members = F.sort_array(F.collect_list(F.struct("_order", "_chunk", "_elements")))
     documents = (
         rows.join(sizes, list(run), "inner")
         .groupBy(*run, "parts", "dt", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("_order", "_chunk", "_copies", "_element"))).alias("_sorted"))
-        .withColumn(
-            "results", F.flatten(F.transform("_sorted", lambda r: F.array_repeat(r["_element"], r["_copies"])))
-        )
+        .agg(members.alias("_members"))
+        .withColumn("results", F.flatten("_members._elements"))
         .select(*run, "part", "parts", "dt", F.size("results").alias("n_elements"), "results")
     )
     options = {"ignoreNullFields": "false", "pretty": str(pretty).lower()}
@@ -88,16 +88,16 @@ def build_envelope(
 
 
 def _chunked_copies(rows: DataFrame, columns: Sequence[str], chunk: int) -> DataFrame:
-    """Identical rows as ``_copies`` counts of at most ``chunk``, numbered by ``_chunk``.
+    """Identical rows as arrays ``_elements`` of at most ``chunk`` copies, numbered by ``_chunk``.
 
     Hashing spreads different records over the parts of a run, but copies of one
-    record all hash alike; cut into chunks they spread too. Counting combines
-    map-side, so many copies are never shuffled.
+    record all hash alike; cut into chunks they spread too.
     """
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = counted.select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / chunk).cast("int") - 1)).alias("_chunk"))
-    left = F.col("_n") - F.col("_chunk") * chunk
-    return chunks.withColumn("_copies", F.least(left, F.lit(chunk)).cast("int")).drop("_n")
+    last = F.ceil(F.col("_n") / chunk).cast("int") - 1
+    chunks = counted.select("*", F.explode(F.sequence(F.lit(0), last)).alias("_chunk"))
+    copies = F.least(F.col("_n") - F.col("_chunk") * chunk, F.lit(chunk)).cast("int")
+    return chunks.withColumn("_elements", F.array_repeat("_element", copies)).drop("_n")
 
 
 def document_name(feed: Feed, run_ts: Column, part: Column, parts: Column, zone: str = "Europe/Warsaw") -> Column:

@@ -29,23 +29,24 @@ def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
     that is no JSON, or has no usable time, keeps a NULL ``record_ts``: such rows
     land in the NULL partition of ``record_date``, which is the quarantine.
     """
-    document = F.try_parse_json(F.decode("content", "UTF-8"))
-    rows = files.select(
+    json_data = F.col("json_data")
+    parsed = files.select(
         "path",
         F.md5("content").alias("stg_file_md5"),
-        document.alias("json_data"),
+        F.try_parse_json(F.decode("content", "UTF-8")).alias("json_data"),
     )
     epoch = F.coalesce(
-        field(F.col("json_data"), "$.dt", "bigint", strict=False),
-        field(F.col("json_data"), feed.dt_path, "bigint", strict=False),
+        field(json_data, "$.dt", "bigint", strict=False),
+        field(json_data, feed.dt_path, "bigint", strict=False),
     )
-    return rows.select(
+    timed = parsed.withColumn("_epoch", epoch).withColumn("record_ts", epoch_to_ntz(F.col("_epoch")))
+    return timed.select(
         # Same file, same id: a replayed micro-batch cannot renumber rows.
         surrogate_key("path", "stg_file_md5").alias("id"),
-        epoch_to_ntz(epoch).alias("record_ts"),
+        "record_ts",
         "json_data",
         F.current_timestamp().alias("ingestion_ts"),
         F.col("path").alias("source_filename"),
         "stg_file_md5",
-        F.to_date(epoch_to_ntz(epoch)).alias("record_date"),
+        F.to_date("record_ts").alias("record_date"),
     )

@@ -19,7 +19,7 @@ from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read
 from aqlake.plans.refresh import refresh as refresh_tables
 from aqlake.plans.register_load import load_register
 from aqlake.plans.views import create_views
-from aqlake.session import scratch_path
+from aqlake.session import materialize, scratch_path
 from aqlake.sources.documents import file_inventory as list_files
 from aqlake.sources.documents import stage_documents
 from aqlake.sources.register import coordinate_pairs as pairs_of
@@ -189,7 +189,7 @@ def wide_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 def wide_from_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows, by way of both feeds' JSON documents."""
-    placed = t.placed_readings(spark, sf)
+    placed = materialize(t.placed_readings(spark, sf), "readings")
     rows = {}
     for feed in (POLLUTION, WEATHER):
         staged = stage_documents(t.as_files(t.feed_documents(placed, feed.name), feed, "record_ts"), feed)
@@ -398,7 +398,7 @@ def _deliver_and_refresh(spark: SparkSession, sf: str, out: str) -> None:
     staging = {f.name: scratch_path(spark, f"staging-{f.name}") for f in (POLLUTION, WEATHER)}
     checkpoints = {f.name: scratch_path(spark, f"checkpoint-{f.name}") for f in (POLLUTION, WEATHER)}
     for delivery, rows in enumerate((events, _corrected(events))):
-        placed = t.placed_readings(spark, sf, rows)
+        placed = materialize(t.placed_readings(spark, sf, rows), "readings")
         for feed in (POLLUTION, WEATHER):
             landing = f"{raw}/{feed.name}"
             _deliver(spark, t.feed_documents(placed, feed.name), feed, "record_ts", f"{landing}/delivery={delivery}")
@@ -466,7 +466,7 @@ def refresh_full(spark: SparkSession, sf: str) -> DataFrame:
     events = t.table(spark, sf, "events")
     out = scratch_path(spark, "derived")
     staging = {}
-    placed = t.placed_readings(spark, sf, events)
+    placed = materialize(t.placed_readings(spark, sf, events), "readings")
     for feed in (POLLUTION, WEATHER):
         staging[feed.name] = scratch_path(spark, f"staging-{feed.name}")
         documents = t.feed_documents(placed, feed.name)

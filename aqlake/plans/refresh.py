@@ -51,7 +51,9 @@ def _versions(spark: SparkSession, root: str) -> DataFrame:
     """Newest version of every day; at most one row per calendar day."""
     try:
         listed = spark.read.schema(_VERSIONS).parquet(f"{root}/versions")
-    except AnalysisException:  # nothing refreshed yet
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # else: nothing refreshed yet
+            raise
         return spark.createDataFrame([], _VERSIONS)
     return listed.groupBy("record_date").agg(F.max("version").alias("version"))
 

@@ -25,8 +25,8 @@ from aqlake.sources.documents import stage_documents
 from aqlake.sources.register import coordinate_pairs as pairs_of
 from aqlake.sources.register import peek_lines as first_fields
 from aqlake.sources.register import read_register
+from aqlake.streaming.catch_up import Lake, catch_up
 from aqlake.streaming.ingest import ingest, read_quarantine, read_staging
-from aqlake.streaming.refresh import refresh_landed
 from checks import tables as t
 
 # The city and day a dashboard user has picked.
@@ -388,24 +388,19 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf: str) -> str:
     """The derived tables, kept up to date as documents are delivered; built once per session."""
-    return t.store_once(spark, sf, "derived", lambda out: _deliver_and_refresh(spark, sf, out))
+    return Lake(t.store_once(spark, sf, "lake", lambda root: _deliver_and_refresh(spark, sf, Lake(root)))).derived
 
 
-def _deliver_and_refresh(spark: SparkSession, sf: str, out: str) -> None:
+def _deliver_and_refresh(spark: SparkSession, sf: str, lake: Lake) -> None:
     """Two deliveries of both feeds, each followed by an incremental refresh."""
     events = t.table(spark, sf, "events")
-    raw, refresh_checkpoint = (scratch_path(spark, n) for n in ("raw", "checkpoint"))
-    staging = {f.name: scratch_path(spark, f"staging-{f.name}") for f in (POLLUTION, WEATHER)}
-    checkpoints = {f.name: scratch_path(spark, f"checkpoint-{f.name}") for f in (POLLUTION, WEATHER)}
+    landing = scratch_path(spark, "landing")
     for delivery, rows in enumerate((events, _corrected(events))):
         placed = materialize(t.placed_readings(spark, sf, rows), "readings")
         for feed in (POLLUTION, WEATHER):
-            landing = f"{raw}/{feed.name}"
-            _deliver(spark, t.feed_documents(placed, feed.name), feed, "record_ts", f"{landing}/delivery={delivery}")
-            ingest(spark, landing, feed, staging[feed.name], checkpoints[feed.name], gather_days=True).awaitTermination()
-        refresh_landed(
-            spark, staging["pollution"], staging["weather"], lambda: t.places(spark, sf), out, refresh_checkpoint
-        ).awaitTermination()
+            documents = t.feed_documents(placed, feed.name)
+            _deliver(spark, documents, feed, "record_ts", f"{landing}/{feed.name}/delivery={delivery}")
+        catch_up(spark, landing, lake, lambda: t.places(spark, sf), gather_days=True)
 
 
 def refresh_incremental(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,6 +20,12 @@ def test_same_as_sql(spark, name):
     assert same_rows(df.columns, rows, *sql_rows(ORACLE[name], SF)) == ""
 
 
+@pytest.mark.parametrize("name", ["calendar", "envelope", "record_ts_first", "wide_from_documents", "date_dim"])
+def test_same_in_another_session_zone(spark, conf, name):
+    conf(spark__sql__session__timeZone="Europe/Warsaw")
+    test_same_as_sql(spark, name)
+
+
 def test_entry(spark):
     import __spark_entry__ as driver
 

@@ -8,30 +8,28 @@ from aqlake.operators import serve
 from aqlake.plans.refresh import list_days, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
 from aqlake.plans.views import create_views
 from aqlake.sources import schemas
+from aqlake.streaming.catch_up import Lake, catch_up
 from aqlake.streaming.ingest import ingest, read_quarantine, read_staging
-from aqlake.streaming.refresh import refresh_landed
 from tests import shapes
 
 DAY = 86400
 PLACE = (1.0, 1.0)
 
 
-class Lake:
-    """Landing, staging and derived folders of one test."""
+class Site:
+    """Landing folder and lake of one test."""
 
     def __init__(self, spark, folder):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.lake = spark, folder, Lake(str(folder / "lake"))
+        self.derived = self.lake.derived
         self.names = itertools.count()
         self.places = [("A", *PLACE, 10)]
         for feed in (POLLUTION, WEATHER):
-            (folder / "raw" / feed.name).mkdir(parents=True)
-
-    def path(self, *parts):
-        return str(self.folder.joinpath(*parts))
+            (folder / "landing" / feed.name).mkdir(parents=True)
 
     def land(self, feed, *bodies):
         for body in bodies:
-            shapes.write_file(self.folder / "raw" / feed.name, f"{next(self.names):03d}.json", body)
+            shapes.write_file(self.folder / "landing" / feed.name, f"{next(self.names):03d}.json", body)
 
     def land_both(self, *dts, place=PLACE, aqi=2, temp=3.5):
         self.land(POLLUTION, *[shapes.document(shapes.pollution_element(*place, dt=d, aqi=aqi)) for d in dts])
@@ -39,161 +37,156 @@ class Lake:
 
     def ingest(self, feed, **options):
         query = ingest(
-            self.spark, self.path("raw", feed.name), feed, self.path("staging", feed.name),
-            self.path("checkpoint", feed.name), **options,
+            self.spark, str(self.folder / "landing" / feed.name), feed, self.lake.staging(feed),
+            self.lake.checkpoint(feed.name), **options,
         )
         query.awaitTermination()
         return sum(p["numInputRows"] for p in query.recentProgress)
 
     def staging(self, feed):
-        return read_staging(self.spark, self.path("staging", feed.name))
+        return read_staging(self.spark, self.lake.staging(feed))
 
     def register(self):
         return shapes.register(self.spark, *self.places)
 
     def run(self):
-        """Take in what has landed and refresh the days it belongs to."""
-        for feed in (POLLUTION, WEATHER):
-            self.ingest(feed)
-        refresh_landed(
-            self.spark, self.path("staging", "pollution"), self.path("staging", "weather"),
-            self.register, self.path("derived"), self.path("checkpoint", "refresh"),
-        ).awaitTermination()
-
-    def full(self, out="full"):
-        refresh(
-            self.spark, self.path("staging", "pollution"), self.path("staging", "weather"),
-            self.register(), self.path(out),
-        )
-        return self.path(out)
+        catch_up(self.spark, str(self.folder / "landing"), self.lake, self.register)
+
+    def full(self, root=None):
+        root = root or str(self.folder / "full")
+        refresh(self.spark, self.lake.staging(POLLUTION), self.lake.staging(WEATHER), self.register(), root)
+        return root
+
+    def read(self, table, root=None):
+        return read_current(self.spark, root or self.derived, table)
 
-    def rows(self, table, root="derived"):
-        return sorted(map(repr, read_current(self.spark, self.path(root), table).collect()))
+    def rows(self, table, root=None):
+        return sorted(map(repr, self.read(table, root).collect()))
 
 
 @pytest.fixture
-def lake(spark, tmp_path):
-    return Lake(spark, tmp_path)
+def site(spark, tmp_path):
+    return Site(spark, tmp_path)
 
 
-def test_each_file_is_taken_once(lake):
-    lake.land_both(shapes.HOUR, shapes.HOUR + 3600)
-    assert lake.ingest(POLLUTION) == 2
-    assert lake.ingest(POLLUTION) == 0
-    lake.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE, dt=shapes.HOUR)))
-    assert lake.ingest(POLLUTION) == 1
-    staged = lake.staging(POLLUTION)
+def test_each_file_is_taken_once(site):
+    site.land_both(shapes.HOUR, shapes.HOUR + 3600)
+    assert site.ingest(POLLUTION) == 2
+    assert site.ingest(POLLUTION) == 0
+    site.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE, dt=shapes.HOUR)))
+    assert site.ingest(POLLUTION) == 1
+    staged = site.staging(POLLUTION)
     assert [(f.name, f.dataType) for f in staged.schema] == [(f.name, f.dataType) for f in schemas.STAGING]
     rows = staged.collect()
     assert len({r.id for r in rows}) == 3 and len({r.ingestion_ts for r in rows}) == 2
     assert len({r.stg_file_md5 for r in rows}) == 2  # the redelivered body is byte for byte the same
 
 
-def test_small_batches_and_archive(lake):
-    lake.land_both(*[shapes.HOUR + 3600 * i for i in range(5)])
-    assert lake.ingest(WEATHER, max_files=2, archive_path=lake.path("archive")) == 5
-    assert lake.staging(WEATHER).count() == 5
+def test_small_batches_and_archive(site):
+    site.land_both(*[shapes.HOUR + 3600 * i for i in range(5)])
+    assert site.ingest(WEATHER, max_files=2, archive_path=str(site.folder / "archive")) == 5
+    assert site.staging(WEATHER).count() == 5
 
 
-def test_unloadable_documents_are_quarantined(lake):
-    lake.land(WEATHER, '{"results": []}', "no json", shapes.document(shapes.weather_element(*PLACE)))
-    lake.ingest(WEATHER)
-    assert lake.staging(WEATHER).count() == 1
-    assert read_quarantine(lake.spark, lake.path("staging", "weather")).count() == 2
+def test_unloadable_documents_are_quarantined(site):
+    site.land(WEATHER, '{"results": []}', "no json", shapes.document(shapes.weather_element(*PLACE)))
+    site.ingest(WEATHER)
+    assert site.staging(WEATHER).count() == 1
+    assert read_quarantine(site.spark, site.lake.staging(WEATHER)).count() == 2
 
 
-def check_against_full(lake):
-    lake.full()
+def check_against_full(site):
+    full = site.full()
     for table in ("wide", "conditions_fact", "day_agg", "dates", "locations"):
-        assert lake.rows(table) == lake.rows(table, "full"), table
+        assert site.rows(table) == site.rows(table, full), table
 
 
-def test_later_delivery_refreshes_its_day(lake):
-    lake.land_both(shapes.HOUR, shapes.HOUR + DAY)
-    lake.run()
-    assert read_current(lake.spark, lake.path("derived"), "day_agg").count() == 2
-    lake.land_both(shapes.HOUR, aqi=5, temp=9.0)
-    lake.run()
-    check_against_full(lake)
-    averages = read_day_agg(lake.spark, lake.path("derived"))
+def test_later_delivery_refreshes_its_day(site):
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    site.run()
+    assert site.read("day_agg").count() == 2
+    site.land_both(shapes.HOUR, aqi=5, temp=9.0)
+    site.run()
+    check_against_full(site)
+    averages = read_day_agg(site.spark, site.derived)
     assert [tuple(r) for r in serve.series_weather(averages, "A", "2024-01-01").collect()] == [(0, 5.0, 9.0, 2.5)]
     assert [tuple(r) for r in serve.series_weather(averages, "A", "2024-01-02").collect()] == [(0, 2.0, 3.5, 2.5)]
 
 
-def test_nothing_landed_refreshes_nothing(lake):
-    lake.land_both(shapes.HOUR)
-    lake.run()
-    before = lake.rows("wide")
-    lake.run()
-    assert lake.rows("wide") == before
-    assert len(list((lake.folder / "derived" / "wide").glob("version=*"))) == 1
+def test_nothing_landed_refreshes_nothing(site):
+    site.land_both(shapes.HOUR)
+    site.run()
+    before = site.rows("wide")
+    site.run()
+    assert site.rows("wide") == before
+    assert len(list((site.folder / "lake" / "derived" / "wide").glob("version=*"))) == 1
 
 
-def test_emptied_day_becomes_empty(lake):
-    lake.land_both(shapes.HOUR, shapes.HOUR + DAY)
-    lake.run()
+def test_emptied_day_becomes_empty(site):
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    site.run()
     # The only weather of the first day is replaced by that of another place.
-    lake.land(WEATHER, shapes.document(shapes.weather_element(5.0, 5.0, dt=shapes.HOUR)))
-    lake.run()
-    check_against_full(lake)
-    assert [r.record_date.day for r in read_current(lake.spark, lake.path("derived"), "wide").collect()] == [2]
-    assert read_date_dim(lake.spark, lake.path("derived")).count() == 1
-
-
-def test_feeds_may_arrive_apart(lake):
-    lake.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE)))
-    lake.land(WEATHER, shapes.document(shapes.weather_element(*PLACE, dt=shapes.HOUR + DAY)))
-    lake.run()
-    assert lake.rows("wide") == []
-    lake.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
-    lake.run()
-    check_against_full(lake)
-    assert len(lake.rows("wide")) == 1
-
-
-def test_register_change_needs_full_refresh(lake):
-    lake.land_both(shapes.HOUR, shapes.HOUR + DAY)
-    lake.run()
-    lake.places = [("A", *PLACE, 11), ("B", *PLACE, 12)]
-    lake.full("derived")
-    check_against_full(lake)
-    locations = read_location_dim(lake.spark, lake.path("derived"))
+    site.land(WEATHER, shapes.document(shapes.weather_element(5.0, 5.0, dt=shapes.HOUR)))
+    site.run()
+    check_against_full(site)
+    assert [r.record_date.day for r in site.read("wide").collect()] == [2]
+    assert read_date_dim(site.spark, site.derived).count() == 1
+
+
+def test_feeds_may_arrive_apart(site):
+    site.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE)))
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE, dt=shapes.HOUR + DAY)))
+    site.run()
+    assert site.rows("wide") == []
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
+    site.run()
+    check_against_full(site)
+    assert len(site.rows("wide")) == 1
+
+
+def test_register_change_needs_full_refresh(site):
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    site.run()
+    site.places = [("A", *PLACE, 11), ("B", *PLACE, 12)]
+    site.full(site.derived)
+    check_against_full(site)
+    locations = read_location_dim(site.spark, site.derived)
     assert sorted((r.city, r.population) for r in locations.collect()) == [("A", 11), ("B", 12)]
     star = (
-        read_current(lake.spark, lake.path("derived"), "conditions_fact"),
+        site.read("conditions_fact"),
         locations,
-        read_date_dim(lake.spark, lake.path("derived")),
+        read_date_dim(site.spark, site.derived),
     )
     assert serve.latest_snapshot(*star).count() == 4  # two fact rows, each with two places
 
 
-def test_half_done_refresh_is_invisible(lake):
-    lake.land_both(shapes.HOUR)
-    lake.run()
-    before = lake.rows("wide")
-    lost = lake.folder / "derived" / "wide" / "version=2" / "record_date=2024-01-01"
-    read_current(lake.spark, lake.path("derived"), "wide").drop("record_date").write.parquet(str(lost))
-    assert lake.rows("wide") == before
-    lake.land_both(shapes.HOUR, aqi=4)
-    lake.run()
-    check_against_full(lake)
+def test_half_done_refresh_is_invisible(site):
+    site.land_both(shapes.HOUR)
+    site.run()
+    before = site.rows("wide")
+    lost = site.folder / "lake" / "derived" / "wide" / "version=2" / "record_date=2024-01-01"
+    site.read("wide").drop("record_date").write.parquet(str(lost))
+    assert site.rows("wide") == before
+    site.land_both(shapes.HOUR, aqi=4)
+    site.run()
+    check_against_full(site)
 
 
-def test_too_many_days_to_list(lake, monkeypatch):
-    lake.land_both(shapes.HOUR, shapes.HOUR + DAY, shapes.HOUR + 2 * DAY)
+def test_too_many_days_to_list(site, monkeypatch):
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY, shapes.HOUR + 2 * DAY)
     monkeypatch.setattr("aqlake.plans.refresh.MAX_LISTED_DAYS", 2)
-    lake.run()
-    assert list_days(lake.staging(POLLUTION)) is None
-    assert len(lake.rows("wide")) == 3
-    check_against_full(lake)
-
-
-def test_stored_partitions_are_pruned(lake):
-    lake.land_both(shapes.HOUR, shapes.HOUR + DAY)
-    lake.run()
-    lake.land_both(shapes.HOUR, aqi=4)
-    lake.run()
-    averages = read_day_agg(lake.spark, lake.path("derived"))
+    site.run()
+    assert list_days(site.staging(POLLUTION)) is None
+    assert len(site.rows("wide")) == 3
+    check_against_full(site)
+
+
+def test_stored_partitions_are_pruned(site):
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    site.run()
+    site.land_both(shapes.HOUR, aqi=4)
+    site.run()
+    averages = read_day_agg(site.spark, site.derived)
     assert [(f.name, f.dataType) for f in averages.schema] == [(f.name, f.dataType) for f in schemas.DAY_AGG]
     picked = serve.series_weather(averages, "A", "2024-01-02")
     filters = picked._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
@@ -201,11 +194,11 @@ def test_stored_partitions_are_pruned(lake):
     assert re.search(r"\(version#\d+L = 1\)", filters) and "(record_date#" in filters
 
 
-def test_sql_views(lake):
-    lake.land_both(shapes.HOUR, shapes.HOUR + DAY)
-    lake.run()
+def test_sql_views(site):
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    site.run()
     names = create_views(
-        lake.spark, lake.path("derived"), lake.path("staging", "pollution"), lake.path("staging", "weather"), lake.register()
+        site.spark, site.derived, site.lake.staging(POLLUTION), site.lake.staging(WEATHER), site.register()
     )
     expected = {
         "final_conditions_wide": schemas.WIDE, "conditions_fact": schemas.FACT, "date_dim": schemas.DATE_DIM,
@@ -214,8 +207,8 @@ def test_sql_views(lake):
         "cities_pop": schemas.REGISTER,
     }
     for name, schema in expected.items():
-        assert lake.spark.table(name).schema.names == schema.names
-        assert lake.spark.table(name).count() > 0
+        assert site.spark.table(name).schema.names == schema.names
+        assert site.spark.table(name).count() > 0
     assert set(names) == {*expected, "staging_pollution", "staging_weather"}
-    labels = lake.spark.sql("SELECT DISTINCT prominent_index(no, no2, o3, so2, pm2_5, pm10, nh3) FROM conditions_fact")
+    labels = site.spark.sql("SELECT DISTINCT prominent_index(no, no2, o3, so2, pm2_5, pm10, nh3) FROM conditions_fact")
     assert [r[0] for r in labels.collect()] == ["NO"]

@@ -32,7 +32,7 @@ def hour_of(ts: str | Column) -> Column:
 def epoch_of(ts: str | Column) -> Column:
     """Epoch seconds of a UTC wall clock, whatever the session zone."""
     column = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_timestamp(F.to_utc_timestamp(column.cast("timestamp"), F.current_timezone())).cast("bigint")
+    return F.unix_timestamp(F.from_utc_timestamp(column.cast("timestamp"), F.current_timezone())).cast("bigint")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,3 +151,24 @@ def refresh(
     locations = store(location_dim(wide, (*PLACE, "record_date")), "locations")
     store(day_agg(fact, locations, dates).withColumnRenamed("measurement_date", "record_date"), "day_agg")
     replaced.select("record_date").coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={version}")
+
+
+def drop_outdated(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete stored days that a later version has replaced; returns how many.
+
+    Days replaced by one of the last ``keep`` versions stay, for readers that
+    planned before. Only folders are listed and deleted; no data is read.
+    """
+    listed = spark.read.schema(_VERSIONS).parquet(f"{root}/versions")
+    newest = listed.agg(F.max("version")).first()[0]
+    settled = listed.where(F.col("version") <= newest - keep).groupBy("record_date").agg(F.max("version").alias("_last"))
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    for table in _TABLES:
+        stored = _stored(spark, root, table).select("version", "record_date").distinct()
+        outdated = stored.join(settled, "record_date").where(F.col("version") < F.col("_last"))
+        for row in outdated.select("version", "record_date").toLocalIterator():
+            path = folder(f"{root}/{table}/version={row.version}/record_date={row.record_date}")
+            dropped += path.getFileSystem(conf).delete(path, True)
+    return dropped

@@ -5,7 +5,7 @@ import pytest
 
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators import serve
-from aqlake.plans.refresh import list_days, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
+from aqlake.plans.refresh import drop_outdated, list_days, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
 from aqlake.plans.views import create_views
 from aqlake.sources import schemas
 from aqlake.streaming.catch_up import Lake, catch_up
@@ -194,6 +194,19 @@ def test_stored_partitions_are_pruned(site):
     assert re.search(r"\(version#\d+L = 1\)", filters) and "(record_date#" in filters
 
 
+def test_outdated_days_are_dropped(site):
+    for aqi in range(3):
+        site.land_both(shapes.HOUR, *[shapes.HOUR + DAY][:1 - aqi], aqi=aqi)
+        site.run()
+    before = {t: site.rows(t) for t in ("curated_weather", "wide", "conditions_fact", "day_agg", "dates", "locations")}
+    assert drop_outdated(site.spark, site.derived, keep=1) == 7  # the first day's first version, of every table
+    assert {t: site.rows(t) for t in before} == before
+    stored = sorted(p.parent.name + "/" + p.name for p in (site.folder / "lake" / "derived" / "wide").glob("*/record_date=*"))
+    assert stored == [
+        "version=1/record_date=2024-01-02", "version=2/record_date=2024-01-01", "version=3/record_date=2024-01-01",
+    ]
+
+
 def test_sql_views(site):
     site.land_both(shapes.HOUR, shapes.HOUR + DAY)
     site.run()

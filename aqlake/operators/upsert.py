@@ -19,7 +19,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Se
     Two one-sided joins rather than one full outer join: a small source can then
     be broadcast to the target, which stays where it is, and a hot target key
     can be split. The target's keys are cut down to the matched ones before the
-    inserts are found.
+    inserts are found. Both inputs are read more than once: pass stored tables.
     """
     fresh = source.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys],

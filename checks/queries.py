@@ -267,12 +267,13 @@ def city_points_distinct(spark: SparkSession, sf: str) -> DataFrame:
 def upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines still open replace or join the finished ones."""
     def lines(status: str) -> DataFrame:
-        return (
+        summed = (
             t.table(spark, sf, "lineitem").where(F.col("l_linestatus") == status)
             .groupBy("l_orderkey", "l_linenumber")
             .agg(F.max("l_extendedprice").alias("price"), F.max("l_quantity").alias("quantity"),
                  F.count(F.lit(1)).alias("n"))
         )
+        return materialize(summed, "lines")
 
     return upsert_rows(lines("F"), lines("O"), ["l_orderkey", "l_linenumber"], ["price", "n"])
 

@@ -100,5 +100,9 @@ def test_surrogate_key_skips_nulls(spark):
 
 
 def test_coord_prefix(spark):
-    rows = spark.createDataFrame([(52.22977,), (51.1,), (-0.12345,), (None,)], "x double")
-    assert [r[0] for r in rows.select(coord_prefix("x")).collect()] == ["52.22", "51.1", "-0.12", None]
+    cases = {
+        52.22977: "52.22", 51.1: "51.1", 51.104: "51.10", -0.12345: "-0.12", 20.0: "20.0",
+        0.00051: "0.000", 0.0001: "0.000", 0.0: "0.", -0.0004: "-0.00", 12345678.5: "12345", 1e30: None, None: None,
+    }
+    rows = spark.createDataFrame([(x,) for x in cases], "x double")
+    assert [r[0] for r in rows.select(coord_prefix("x")).collect()] == list(cases.values())

@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
+from aqlake.feeds import Feed
 from aqlake.functions.json_paths import field
 from aqlake.functions.keys import surrogate_key
 from aqlake.functions.timeparts import epoch_to_ntz
-from aqlake.feeds import Feed
+
+_BYTE_ORDER_MARK = "\ufeff"
+
+
+def as_documents(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    """Every file below ``path`` as a row of ``path`` and ``content``, batch or stream.
+
+    A file is read whole; compressed ones are unpacked by their extension. Empty
+    files give no row.
+    """
+    files = reader.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(path)
+    # The file source gives the path URL-encoded, with "+" standing for itself.
+    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return files.select(name.alias("path"), F.col("value").alias("content"))
 
 
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every file below ``path`` with its body. Bodies are read only if selected."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    """Every document below ``path``, one row per file."""
+    return as_documents(spark.read, path)
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Name, size and modification time of every file below ``path``; no body is read."""
-    return read_document_files(spark, path).select("path", "length", "modificationTime")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", "modificationTime")
 
 
 def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
@@ -33,7 +49,7 @@ def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
     parsed = files.select(
         "path",
         F.md5("content").alias("stg_file_md5"),
-        F.try_parse_json(F.decode("content", "UTF-8")).alias("json_data"),
+        F.try_parse_json(F.ltrim("content", F.lit(_BYTE_ORDER_MARK))).alias("json_data"),
     )
     epoch = F.coalesce(
         field(json_data, "$.dt", "bigint", strict=False),

@@ -25,14 +25,6 @@ REGISTER = T.StructType([
 ])
 REGISTER_KEYS = ("city", "lat", "lon")
 
-# What the binary file source yields, batch or streaming.
-DOCUMENT_FILES = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-])
-
 # One row per landed document; ``record_date`` is the storage partition.
 STAGING = T.StructType([
     T.StructField("id", T.LongType()),

@@ -93,7 +93,7 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
             )
         )
     )
-    files = bodies.select("path", F.encode("document", "UTF-8").alias("content"))
+    files = bodies.select("path", F.col("document").alias("content"))
     good, bad = split_not_null(stage_documents(files, WEATHER), "record_ts")
     return good.select("source_filename", F.lit("loaded").alias("status")).unionByName(
         bad.select("source_filename", F.lit("quarantined").alias("status"))

@@ -164,7 +164,7 @@ def as_files(documents: DataFrame, feed: Feed, run_ts: str) -> DataFrame:
     """Documents in the shape the file source gives, without going through files."""
     return documents.select(
         document_name(feed, F.col(run_ts), F.col("part"), F.col("parts")).alias("path"),
-        F.encode("document", "UTF-8").alias("content"),
+        F.col("document").alias("content"),
     )
 
 

@@ -37,14 +37,14 @@ def document(*elements):
 
 
 def files(spark, *bodies):
-    rows = [(f"f{i}", body.encode()) for i, body in enumerate(bodies)]
-    return spark.createDataFrame(rows, "path string, content binary")
+    rows = [(f"f{i}", body) for i, body in enumerate(bodies)]
+    return spark.createDataFrame(rows, "path string, content string")
 
 
 def staging(spark, feed, *delivered):
     """Staging rows of ``(ingestion_ts, body)`` pairs."""
-    rows = [(f"f{i}", ts, body.encode()) for i, (ts, body) in enumerate(delivered)]
-    landed = spark.createDataFrame(rows, "path string, at string, content binary")
+    rows = [(f"f{i}", ts, body) for i, (ts, body) in enumerate(delivered)]
+    landed = spark.createDataFrame(rows, "path string, at string, content string")
     when = landed.select(F.col("path").alias("source_filename"), F.col("at").cast("timestamp").alias("ingestion_ts"))
     staged = stage_documents(landed.select("path", "content"), feed).drop("ingestion_ts")
     return staged.join(when, "source_filename").select(*STAGING.names)

@@ -128,7 +128,7 @@ def test_hot_run_is_split_without_loss(spark):
     assert sum(n for (run, _), n in sizes.items() if run == 0) == 1000
     assert len(sizes) == 11 and max(sizes.values()) < 200 and sizes[(9, 0)] == 5
     files = documents.select(
-        F.concat_ws("-", "run", "part").alias("path"), F.encode("document", "UTF-8").alias("content")
+        F.concat_ws("-", "run", "part").alias("path"), F.col("document").alias("content")
     )
     staged = stage_documents(files, WEATHER)
     # Every part has the time of the run's first record, so none looks like a run of its own.

@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 
 from aqlake.operators.upsert import ambiguous_matches, upsert
@@ -19,9 +21,10 @@ LINES = (
 UPDATE = [c for c in REGISTER.names if c not in REGISTER_KEYS]
 
 
-@pytest.fixture
-def csv(tmp_path):
-    shapes.write_file(tmp_path / "in", "register.csv", HEADER + LINES)
+@pytest.fixture(params=["register.csv", "register.csv.gz"])
+def csv(tmp_path, request):
+    content = (HEADER + LINES).encode()
+    shapes.write_file(tmp_path / "in", request.param, gzip.compress(content) if request.param.endswith("gz") else content)
     return str(tmp_path / "in")
 
 

@@ -1,10 +1,14 @@
+import bz2
+import gzip
 import itertools
 import re
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators import serve
+from aqlake.plans.conditions import curate
 from aqlake.plans.refresh import drop_outdated, list_days, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
 from aqlake.plans.views import create_views
 from aqlake.sources import schemas
@@ -89,10 +93,35 @@ def test_small_batches_and_archive(site):
 
 
 def test_unloadable_documents_are_quarantined(site):
-    site.land(WEATHER, '{"results": []}', "no json", shapes.document(shapes.weather_element(*PLACE)))
+    site.land(WEATHER, '{"results": []}', "no json", b"\xff\xfe\x00{", shapes.document(shapes.weather_element(*PLACE)))
     site.ingest(WEATHER)
     assert site.staging(WEATHER).count() == 1
-    assert read_quarantine(site.spark, site.lake.staging(WEATHER)).count() == 2
+    assert read_quarantine(site.spark, site.lake.staging(WEATHER)).count() == 3
+
+
+def test_compressed_files_and_byte_order_marks(site):
+    body = shapes.document(shapes.weather_element(*PLACE, name="Łódź")).encode()
+    folder = site.folder / "landing" / "weather" / "Łódź +1 %"
+    for name, content in (
+        ("a.json", body), ("b.json.gz", gzip.compress(body)), ("c.json.bz2", bz2.compress(body)),
+        ("d.json", b"\xef\xbb\xbf" + body), ("empty.json", b""),
+    ):
+        shapes.write_file(folder, name, content)
+    site.ingest(WEATHER)
+    rows = curate(site.staging(WEATHER), WEATHER).collect()
+    assert [r.city for r in rows] == ["Łódź"] * 4
+    assert {r.source_filename.split("/weather/")[1] for r in rows} == {
+        f"Łódź +1 %/{name}" for name in ("a.json", "b.json.gz", "c.json.bz2", "d.json")
+    }
+
+
+def test_corrupt_file_stops_or_is_skipped(site):
+    shapes.write_file(site.folder / "landing" / "weather", "x.json.gz", b"no gzip")
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
+    with pytest.raises(StreamingQueryException):
+        site.ingest(WEATHER)
+    site.ingest(WEATHER, skip_corrupt=True)
+    assert site.staging(WEATHER).count() == 1
 
 
 def check_against_full(site):

@@ -22,9 +22,14 @@ class Star(NamedTuple):
     dates: DataFrame
 
 
-def curate(staging: DataFrame, feed: Feed, strict: bool = True) -> DataFrame:
-    """Newest delivery of every document, flattened. Whole documents are ranked, not elements."""
-    return flatten_results(latest_per_key(staging, ["record_ts"], "ingestion_ts"), feed.fields, strict=strict)
+def curate(staging: DataFrame, feed: Feed, strict: bool = True, ties: str = "keep") -> DataFrame:
+    """Newest delivery of every document, flattened. Whole documents are ranked, not elements.
+
+    Documents of equal time and load time are all kept, or with ``ties="one"``
+    the one whose file name comes last.
+    """
+    newest = latest_per_key(staging, ["record_ts"], "ingestion_ts", ties, ["source_filename", "id"])
+    return flatten_results(newest, feed.fields, strict=strict)
 
 
 def conditions_wide(

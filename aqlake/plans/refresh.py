@@ -134,22 +134,27 @@ def refresh(
         replaced = spark.createDataFrame([(d,) for d in days], "record_date date")
     version = (_versions(spark, root).agg(F.max("version")).first()[0] or 0) + 1
 
-    def store(df: DataFrame, table: str) -> DataFrame:
-        path = f"{root}/{table}/version={version}"
-        # Rebalance: few files for small days, several for a hot one.
-        df.hint("rebalance", "record_date").write.mode("overwrite").partitionBy("record_date").parquet(path)
+    def store(df: DataFrame, table: str, gather: bool = True) -> DataFrame:
+        if gather:  # few files for small days, several for a hot one
+            df = df.hint("rebalance", "record_date")
+        df.write.mode("overwrite").partitionBy("record_date").parquet(f"{root}/{table}/version={version}")
         return _stored(spark, root, table).where(F.col("version") == version).drop("version")
 
+    # Each step reads what the one before it stored: documents are parsed once,
+    # the feeds are joined once, and a lost executor never sends work further back.
+    # Rows that come straight from files of single days need no shuffle to be
+    # written by day again; only after a join or aggregation are they gathered.
+    # Rebuilding all days, the dedup join may have been a shuffled one.
     curated = [
-        store(with_record_date(curate(staging[feed.name], feed)), f"curated_{feed.name}") for feed in (POLLUTION, WEATHER)
+        store(with_record_date(curate(staging[feed.name], feed)), f"curated_{feed.name}", gather=days is None)
+        for feed in (POLLUTION, WEATHER)
     ]
     wide = store(with_record_date(conditions_wide(*curated, register, coord_match)), "wide")
-    # Each step reads what the one before it stored: documents are parsed once,
-    # the feeds are joined once, and a lost executor never sends work further back.
-    fact = store(conditions_fact(wide, extra=("record_date",)), "conditions_fact")
+    fact = store(conditions_fact(wide, extra=("record_date",)), "conditions_fact", gather=False)
     dates = store(with_record_date(date_dim(wide), "measurement_time"), "dates")
     locations = store(location_dim(wide, (*PLACE, "record_date")), "locations")
-    store(day_agg(fact, locations, dates).withColumnRenamed("measurement_date", "record_date"), "day_agg")
+    averages = day_agg(fact, locations, dates)
+    store(averages.withColumnRenamed("measurement_date", "record_date"), "day_agg")
     replaced.select("record_date").coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={version}")
 
 

@@ -17,15 +17,22 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Listing many files starts one task for each up to this number; the default of
+# 10,000 suits a cluster and an object store, not the threads of one machine.
+LOCAL_SETTINGS = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "16"}
+
 _local_scratch: list[str] = []
 
 
 def build_session(app_name: str = "aqlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; cluster settings stay with the cluster."""
     builder = SparkSession.builder.appName(app_name)
+    settings = dict(SETTINGS)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+        if master.startswith("local"):
+            settings |= LOCAL_SETTINGS
+    for key, value in (settings | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

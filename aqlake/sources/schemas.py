@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from aqlake.feeds import AVERAGED_MEASURES, POLLUTANTS, POLLUTION, WEATHER, Feed
+from aqlake.feeds import AVERAGED_MEASURES, POLLUTANTS, POLLUTION, WEATHER, WEATHER_MEASURES, Feed
 
 _SPARK_TYPES = {
     "int": T.IntegerType(),
@@ -57,7 +57,7 @@ _PLACE = [
     T.StructField("lon", T.DoubleType()),
 ]
 _POLLUTANTS = [T.StructField(name, T.DoubleType()) for name in POLLUTANTS]
-_WEATHER = [T.StructField(name, _TYPE_OF[name]) for name, *_ in WEATHER.fields if name not in ("location_id", "city", "lat", "lon", "weather_con")]
+_WEATHER = [T.StructField(name, _TYPE_OF[name]) for name in WEATHER_MEASURES]
 _AQI = T.StructField("aqi", T.IntegerType())
 _PROMINENT = T.StructField("prominent_pollutant", T.StringType())
 _CONDITION = T.StructField("weather_con", T.StringType())

@@ -41,12 +41,11 @@ def catch_up(
     Both feeds are taken in side by side, then their days are refreshed. How
     often to call this decides how fresh the tables are.
     """
-    queries = [
-        ingest(spark, f"{landing}/{feed.name}", feed, lake.staging(feed), lake.checkpoint(feed.name), gather_days=gather_days)
-        for feed in (POLLUTION, WEATHER)
-    ]
+    queries = []
+    for feed in (POLLUTION, WEATHER):
+        source, target = f"{landing}/{feed.name}", lake.staging(feed)
+        queries.append(ingest(spark, source, feed, target, lake.checkpoint(feed.name), gather_days=gather_days))
     for query in queries:
         query.awaitTermination()
-    refresh_landed(
-        spark, lake.staging(POLLUTION), lake.staging(WEATHER), register, lake.derived, lake.checkpoint("refresh"), coord_match
-    ).awaitTermination()
+    staged = (lake.staging(POLLUTION), lake.staging(WEATHER))
+    refresh_landed(spark, *staged, register, lake.derived, lake.checkpoint("refresh"), coord_match).awaitTermination()

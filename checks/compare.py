@@ -42,7 +42,13 @@ def same_rows(names: list[str], rows: list[tuple], sql_names: list[str], sql_res
 def main(wanted: list[str]) -> int:
     sf_dir = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+        "compare",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0

@@ -31,6 +31,12 @@ def test_tie_keeps_both_or_one(spark):
     assert [r.source_filename for r in one.collect()] == ["f1"]
 
 
+def test_curate_one_of_a_tie(spark):
+    staged = delivered(spark, FIRST, LATER, LATER)
+    assert sorted(r.aqi for r in curate(staged, POLLUTION).collect()) == [1, 2]
+    assert [r.aqi for r in curate(staged, POLLUTION, ties="one").collect()] == [2]
+
+
 def test_arguments(spark):
     rows = spark.range(1)
     with pytest.raises(ValueError):

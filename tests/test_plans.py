@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aqlake.operators import serve
 from aqlake.operators.dedup import latest_per_key
-from aqlake.operators.joins import join_feeds
+from aqlake.operators.joins import attach_register, join_feeds
 from aqlake.session import scratch_path
 from checks import tables as t
 from checks.queries import QUERIES
@@ -70,6 +70,29 @@ def test_hot_key_is_split(spark, conf):
     assert "SortMergeJoin(skew=true)" in plan_of(joined)
 
 
+def test_hot_place_is_split(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+    )
+    path = scratch_path(spark, "places")
+    skewed(spark, "rows").select(
+        F.col("k").cast("double").alias("lat"), F.lit(1.5).alias("lon"), "payload"
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    register_path = scratch_path(spark, "register")
+    spark.range(-1, 9999).select(
+        F.col("id").cast("double").alias("lat"), F.lit(1.5).alias("lon"), F.col("id").alias("city")
+    ).write.parquet(register_path)
+    placed = attach_register(rows, spark.read.parquet(register_path), ["city"], coord_match="exact")
+    found = placed.collect()
+    assert len(found) == rows.count() and sum(r.city == -1 for r in found) == 20_000
+    assert "SortMergeJoin(skew=true)" in plan_of(placed)
+
+
 def test_serving_filters_reach_the_scan(spark):
     plan = plan_of(serve.series_one(t.stored_day_agg(spark, SF), "Customer#000000008", "2024-01-29", "CO"))
     assert "PushedFilters: [IsNotNull(city), EqualTo(city,Customer#000000008)]" in plan

@@ -254,3 +254,12 @@ def test_sql_views(site):
     assert set(names) == {*expected, "staging_pollution", "staging_weather"}
     labels = site.spark.sql("SELECT DISTINCT prominent_index(no, no2, o3, so2, pm2_5, pm10, nh3) FROM conditions_fact")
     assert [r[0] for r in labels.collect()] == ["NO"]
+
+
+def test_one_feed_without_any_file(site):
+    site.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE)))
+    site.run()
+    assert site.rows("wide") == [] and len(site.rows("curated_pollution")) == 1
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
+    site.run()
+    assert len(site.rows("wide")) == 1

@@ -137,8 +137,11 @@ def refresh(
     def store(df: DataFrame, table: str, gather: bool = True) -> DataFrame:
         if gather:  # few files for small days, several for a hot one
             df = df.hint("rebalance", "record_date")
-        df.write.mode("overwrite").partitionBy("record_date").parquet(f"{root}/{table}/version={version}")
-        return _stored(spark, root, table).where(F.col("version") == version).drop("version")
+        path = f"{root}/{table}/version={version}"
+        df.write.mode("overwrite").partitionBy("record_date").parquet(path)
+        # Read back from its own folder: older versions are not even listed.
+        by_day = T.StructType([*_TABLES[table].fields, T.StructField("record_date", T.DateType())])
+        return spark.read.schema(by_day).parquet(path)
 
     # Each step reads what the one before it stored: documents are parsed once,
     # the feeds are joined once, and a lost executor never sends work further back.

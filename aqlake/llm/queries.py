@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aqlake.llm.decontaminate import decontaminate_digest
 from aqlake.llm.line_dedup import line_dedup_digest
 
 
@@ -15,6 +16,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_digest(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op5_line_dedup": op5_line_dedup,
+    "op6_decontaminate": op6_decontaminate,
 }

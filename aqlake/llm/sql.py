@@ -18,6 +18,31 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+DECONTAMINATE = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+bp AS (
+  SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s FROM bp),
+dp AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS s FROM dp),
+hit AS (SELECT doc_id, dw.n, p, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.s = bw.s),
+pos AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
 ORACLE = {
     "op5_line_dedup": LINE_DEDUP,
+    "op6_decontaminate": DECONTAMINATE,
 }

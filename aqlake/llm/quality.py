@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from aqlake.llm.calibrate import fit_logistic, logistic
 from aqlake.llm.shared import fold, schema
 
-CHUNK = 4096  # bytes compressed at a time: a dictionary only shortens what it stands near to
+CHUNK = 1024  # bytes compressed at a time: a dictionary only shortens what it stands near to
+SAMPLE = 2048  # bytes of a training chunk
 LEVEL = 3
 
 
@@ -24,7 +25,7 @@ class CompressionModel:
     def compressors(self):
         made = []
         for content in self.contents:
-            words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            words = zstandard.ZstdCompressionDict(content)
             words.precompute_compress(level=LEVEL)
             made.append(
                 zstandard.ZstdCompressor(
@@ -53,14 +54,12 @@ class CompressionModel:
 
 
 def _dictionary(texts: list[bytes], dict_bytes: int) -> bytes:
-    """Equal shares of the texts, in the order given: raw dictionary content."""
-    share = max(64, dict_bytes // max(1, len(texts)))
-    rest, parts = dict_bytes, []
-    for left, text in zip(range(len(texts), 0, -1), sorted(texts, key=len)):
-        part = text[: max(share, rest // left)]
-        parts.append(part)
-        rest -= len(part)
-    return b"\n".join(parts)[-dict_bytes:] or b"\n" * 8
+    """A dictionary trained on all chunks of the texts; their own bytes where these are too few to train on."""
+    chunks = [t[i : i + SAMPLE] for t in texts for i in range(0, len(t), SAMPLE)]
+    try:
+        return zstandard.train_dictionary(dict_bytes, chunks).as_bytes()
+    except zstandard.ZstdError:
+        return b"\n".join(chunks)[-dict_bytes:].rjust(8, b"\n")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 1500, dict_bytes: int = 112_640) -> CompressionModel:

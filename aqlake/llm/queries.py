@@ -1,26 +1,39 @@
-"""Registered queries of the llm operators and their SQL, where SQL can express them."""
+"""Registered queries of the llm operators: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from aqlake.llm.decontaminate import decontaminate_digest
+from aqlake.llm.html_text import extraction_digest
+from aqlake.llm.language import language_digest
+from aqlake.llm.license_scan import license_scan
 from aqlake.llm.line_dedup import line_dedup_digest
+from aqlake.llm.neighbours import neighbours_digest
+from aqlake.llm.packing import packing_digest
+from aqlake.llm.quality import quality_digest
+from aqlake.llm.simhash import simhash_digest
+from aqlake.llm.url_filter import url_digest
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup_digest(_table(spark, sf_dir, "documents"))
-
+def _query(digest: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return digest(*(spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in tables))
 
-def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return query
 
 
 QUERIES = {
-    "op5_line_dedup": op5_line_dedup,
-    "op6_decontaminate": op6_decontaminate,
+    "op1_simhash": _query(simhash_digest, "documents"),
+    "op2_html_text": _query(extraction_digest, "pages"),
+    "op3_url_filter": _query(url_digest, "pages"),
+    "op4_language": _query(language_digest, "documents"),
+    "op5_line_dedup": _query(line_dedup_digest, "documents"),
+    "op6_decontaminate": _query(decontaminate_digest, "documents", "benchmark"),
+    "op7_neighbours": _query(neighbours_digest, "embeddings"),
+    "op8_quality": _query(quality_digest, "documents", "labels"),
+    "op9_packing": _query(packing_digest, "documents"),
+    "op10_license_scan": _query(license_scan, "documents"),
 }

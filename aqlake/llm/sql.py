@@ -42,7 +42,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+def _url_filter(levels: int = 3) -> str:
+    steps = []
+    for k in range(levels + 1):
+        segment = f"segments[{k + 1}]"
+        if k == levels:
+            segment = f"CASE WHEN len(segments) > {k} THEN array_to_string(segments[{k + 1}:], '/') END"
+        steps.append(f"""
+g{k} AS (SELECT *, {segment} AS segment FROM t{k}),
+b{k} AS (SELECT host, template, segment, sum(n) AS n, sum(blocked) AS blocked, sum(allowed) AS allowed
+  FROM g{k} WHERE segment IS NOT NULL GROUP BY ALL),
+n{k} AS (SELECT host, template, count(*) AS kinds, sum(n) AS all_n,
+  (sum(blocked) + 1.0::DOUBLE) / (sum(blocked) + sum(allowed) + 2.0::DOUBLE) AS p FROM b{k} GROUP BY ALL),
+d{k} AS (SELECT host, template, segment, CASE WHEN kinds >= 8 AND kinds * 2 >= all_n
+    OR abs((blocked + 1.0::DOUBLE) / (blocked + allowed + 2.0::DOUBLE) - p)
+      <= sqrt(p * (1.0::DOUBLE - p) / (blocked + allowed + 2.0::DOUBLE)) THEN '*' ELSE segment END AS name
+  FROM b{k} JOIN n{k} USING (host, template)),
+t{k + 1} AS (SELECT host, path, n, blocked, allowed, template || coalesce('/' || name, '') AS template, segments
+  FROM g{k} LEFT JOIN d{k} USING (host, template, segment))""")
+    return r"""
+WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM r),
+u AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM h),
+j AS (SELECT *, CASE
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM u),
+t0 AS (SELECT host, path, count(*) AS n, count(*) FILTER (rule IN ('net/', 'example.com/de/')) AS blocked,
+    count(*) FILTER (rule IN ('example.net/en/', 'org/fr/')) AS allowed, '' AS template,
+    string_split(regexp_replace(path, '^/', ''), '/') AS segments FROM j GROUP BY host, path),""" + ",".join(steps) + f""",
+pure AS (SELECT host, template, (sum(blocked) + 1.0::DOUBLE) / (sum(blocked) + sum(allowed) + 2.0::DOUBLE) AS purity
+  FROM t{levels + 1} GROUP BY ALL)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN purity >= 0.9 THEN 'block' ELSE 'allow' END AS verdict
+FROM j JOIN t{levels + 1} USING (host, path) JOIN pure USING (host, template)
+"""
+
+
 ORACLE = {
+    "op3_url_filter": _url_filter(),
     "op5_line_dedup": LINE_DEDUP,
     "op6_decontaminate": DECONTAMINATE,
 }

@@ -121,7 +121,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .agg(F.collect_set("fp").alias("fps"), F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("in_doc"))
-    judged = _extend(docs.join(suspects, same).select("doc_id", "fps", "windows", alnum_words(F.col("text")).alias("words")), levels)
+    # stored, so that no filter on the result is worked into these expressions
+    judged = store(
+        _extend(docs.join(suspects, same).select("doc_id", "fps", "windows", alnum_words(F.col("text")).alias("words")), levels)
+    )
     clean = (
         seen.where("first")
         .join(suspects.select("in_doc"), same, "left_anti")

@@ -57,7 +57,7 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     levels = sorted(row[0] for row in items.select("length").distinct().collect())
     if not levels:
         empty = items.sparkSession.createDataFrame([], "fp long, windows array<struct<text:string,items:array<string>>>")
-        return empty, []
+        return empty, [WINDOW]
     each = []
     for size in levels:
         marked = fingerprints(items.where(F.col("length") == size), [size])

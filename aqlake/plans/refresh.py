@@ -15,7 +15,6 @@ become empty (a dynamic partition overwrite would keep the old rows).
 from __future__ import annotations
 
 import datetime as dt
-from collections import defaultdict
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -29,10 +28,6 @@ from aqlake.plans.conditions import conditions_wide, curate, with_record_date
 from aqlake.sources import schemas
 from aqlake.streaming.ingest import read_staging
 
-# More days than this are handled by joins instead of literals in the plan
-# (27 years; the driver holds one date and one number per day at most).
-MAX_LISTED_DAYS = 10_000
-
 _STORED_BY = [T.StructField("version", T.LongType()), T.StructField("record_date", T.DateType())]
 _TABLES = {
     "curated_pollution": schemas.curated(POLLUTION),
@@ -58,10 +53,10 @@ def _versions(spark: SparkSession, root: str) -> DataFrame:
     return listed.groupBy("record_date").agg(F.max("version").alias("version"))
 
 
-def list_days(rows: DataFrame) -> list[dt.date] | None:
-    """The distinct ``record_date`` values of ``rows``; None if there are too many to list."""
-    found = rows.where("record_date IS NOT NULL").select("record_date").distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    return None if len(found) > MAX_LISTED_DAYS else [r.record_date for r in found]
+def list_days(rows: DataFrame) -> list[dt.date]:
+    """The distinct ``record_date`` values of ``rows``: at most one per calendar day."""
+    found = rows.where("record_date IS NOT NULL").select("record_date").distinct().collect()
+    return [r.record_date for r in found]
 
 
 def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -71,19 +66,12 @@ def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of a derived table as of the last finished refresh, with ``record_date``."""
-    versions = _versions(spark, root)
-    listed = versions.limit(MAX_LISTED_DAYS + 1).collect()
     rows = _stored(spark, root, table)
-    if len(listed) > MAX_LISTED_DAYS:
-        return rows.join(versions, ["record_date", "version"], "left_semi").drop("version")
-    days_of = defaultdict(list)
-    for row in listed:
-        days_of[row.version].append(row.record_date)
-    # Literals on partition columns: outdated versions are not even opened.
-    current = [
-        (F.col("version") == version) & F.col("record_date").isin(days) for version, days in sorted(days_of.items())
-    ]
-    return rows.where(reduce(lambda a, b: a | b, current, F.lit(False))).drop("version")
+    # One flat list of literals on the partition columns, however many days there are:
+    # outdated versions are not even opened, and the plan does not nest.
+    current = [f"{row.version}/{row.record_date}" for row in _versions(spark, root).collect()]
+    stored_as = F.concat(F.col("version").cast("string"), F.lit("/"), F.col("record_date").cast("string"))
+    return rows.where(stored_as.isin(current)).drop("version")
 
 
 def read_day_agg(spark: SparkSession, root: str) -> DataFrame:

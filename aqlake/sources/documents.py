@@ -42,14 +42,18 @@ def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
 
     The document's time is that of its first element. A document split over
     several files repeats that time as ``$.dt`` (see ``build_envelope``). A body
-    that is no JSON, or has no usable time, keeps a NULL ``record_ts``: such rows
+    that is no JSON, holds more than one value, or has no usable time, keeps a NULL ``record_ts``: such rows
     land in the NULL partition of ``record_date``, which is the quarantine.
     """
     json_data = F.col("json_data")
+    body = F.ltrim("content", F.lit(_BYTE_ORDER_MARK))
+    # The parser stops after the first value; in brackets, whatever follows it shows.
+    whole = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    alone = F.try_variant_get(whole, "$[1]", "variant").isNull()
     parsed = files.select(
         "path",
         F.md5("content").alias("stg_file_md5"),
-        F.try_parse_json(F.ltrim("content", F.lit(_BYTE_ORDER_MARK))).alias("json_data"),
+        F.when(whole.isNotNull() & alone, F.try_parse_json(body)).alias("json_data"),
     )
     epoch = F.coalesce(
         field(json_data, "$.dt", "bigint", strict=False),

@@ -16,7 +16,7 @@ def read_register(spark: SparkSession, path: str, schema: T.StructType = REGISTE
     """Good rows, and rows that do not fit the schema (kept with their raw text).
 
     Columns are taken by position. A byte order mark before the header and
-    quoted separators are understood. One bad row does not stop the load.
+    quoted separators and doubled quotes are understood. One bad row does not stop the load.
 
     The parsed rows are kept in a staging table: read straight from the file, a
     row is only judged by the columns a query happens to select.
@@ -25,6 +25,7 @@ def read_register(spark: SparkSession, path: str, schema: T.StructType = REGISTE
         spark.read.schema(T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())]))
         .option("sep", ";")
         .option("quote", '"')
+        .option("escape", '"')  # a quote within quotes is doubled
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)

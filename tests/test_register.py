@@ -89,3 +89,11 @@ def test_load_register_refuses_ambiguous_file(spark, tmp_path):
     target = shapes.register(spark, ("a", 1.0, 1.0, 1))
     with pytest.raises(ValueError, match="several rows"):
         load_register(spark, str(tmp_path), target, scratch_path(spark, "register"))
+
+
+def test_doubled_quotes(spark, tmp_path):
+    head = "city;city_ascii;lat;lon;country_code;population;timezone;country\n"
+    path = tmp_path / "quotes.csv"
+    path.write_text(head + '"A ""B""";x;1;2;XX;5;UTC;"C""; D"\n', encoding="utf-8")
+    good, bad = read_register(spark, str(path))
+    assert [(r.city, r.country) for r in good.collect()] == [('A "B"', 'C"; D')] and bad.count() == 0

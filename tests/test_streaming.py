@@ -1,15 +1,18 @@
 import bz2
+import datetime as dt
 import gzip
 import itertools
-import re
+import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators import serve
 from aqlake.plans.conditions import curate
-from aqlake.plans.refresh import drop_outdated, list_days, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
+from aqlake.plans.refresh import drop_outdated, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
 from aqlake.plans.views import create_views
 from aqlake.sources import schemas
 from aqlake.streaming.catch_up import Lake, catch_up
@@ -201,13 +204,35 @@ def test_half_done_refresh_is_invisible(site):
     check_against_full(site)
 
 
-def test_too_many_days_to_list(site, monkeypatch):
-    site.land_both(shapes.HOUR, shapes.HOUR + DAY, shapes.HOUR + 2 * DAY)
-    monkeypatch.setattr("aqlake.plans.refresh.MAX_LISTED_DAYS", 2)
+def test_thousands_of_days_with_a_version_each(spark, tmp_path, monkeypatch):
+    first = dt.date(2010, 1, 1)
+    days = [(first + dt.timedelta(days=i), i + 1) for i in range(5000)]
+    listed = spark.createDataFrame(days, "record_date date, version bigint")
+    monkeypatch.setattr("aqlake.plans.refresh._versions", lambda *_: listed)
+    one = spark.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.LOCATION_DIM.fields))
+    for version in (4999, 5000):
+        one.write.parquet(f"{tmp_path}/locations/version={version}/record_date={days[-1][0]}")
+    assert read_current(spark, str(tmp_path), "locations").count() == 1
+
+
+def test_a_second_document_in_a_file_is_not_lost_silently(site):
+    one = shapes.document(shapes.pollution_element(*PLACE, dt=shapes.HOUR))
+    site.land(POLLUTION, one, f"{one}\n{one}")
+    site.ingest(POLLUTION)
+    assert site.staging(POLLUTION).count() == 1
+    assert read_quarantine(site.spark, site.lake.staging(POLLUTION)).count() == 1
+
+
+def test_a_file_older_than_the_others_is_taken(site):
+    site.land_both(shapes.HOUR)
     site.run()
-    assert list_days(site.staging(POLLUTION)) is None
-    assert len(site.rows("wide")) == 3
-    check_against_full(site)
+    site.land_both(shapes.HOUR + DAY)
+    old = time.time() - 20 * 86400
+    for folder, _, files in os.walk(site.folder / "landing"):
+        for name in files:
+            os.utime(os.path.join(folder, name), (old, old))
+    site.run()
+    assert len(site.rows("wide")) == 2
 
 
 def test_stored_partitions_are_pruned(site):
@@ -219,8 +244,8 @@ def test_stored_partitions_are_pruned(site):
     assert [(f.name, f.dataType) for f in averages.schema] == [(f.name, f.dataType) for f in schemas.DAY_AGG]
     picked = serve.series_weather(averages, "A", "2024-01-02")
     filters = picked._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("PushedFilters")[0]
-    # The picked day was last refreshed by the first version: the second is not opened.
-    assert re.search(r"\(version#\d+L = 1\)", filters) and "(record_date#" in filters
+    # Day and version are both decided on the folders' names: replaced versions are not opened.
+    assert "cast(version#" in filters and "(record_date#" in filters
 
 
 def test_outdated_days_are_dropped(site):

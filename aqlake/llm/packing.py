@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -13,6 +16,18 @@ from pyspark.sql import functions as F
 from aqlake.llm.shared import schema, store
 
 GROUP = 4096  # pieces packed together
+# How a vocabulary of word ends cuts a text, for characters below U+0300, which no
+# normal form changes: contractions, runs of letters, digits, runs of other marks.
+_LETTERS = "".join(c for c in map(chr, range(0x300)) if unicodedata.category(c)[0] == "L")
+_NUMBERS = "".join(c for c in map(chr, range(0x300)) if unicodedata.category(c)[0] == "N")
+_WORD = (
+    rf"'(?:[stmdSTMD]|[rR][eE]|[vV][eE]|[lL][lL])|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+"
+)
+# beyond them (one capital letter whose small form is longer, special tokens): the whole stretch between blanks
+_HARD = r"[^\0-\u012f\u0131-\u02ff]|<\|"
+WORD, HARD = re.compile(_WORD), re.compile(_HARD)
+WORD_OR_HARD = re.compile(rf"[^\t-\r ]*(?:{_HARD})[^\t-\r ]*|{_WORD}")
+KEPT_CHARS = 1 << 23  # characters of distinct words whose ids a Python worker remembers
 
 
 @lru_cache(maxsize=4)
@@ -22,22 +37,69 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0) -> DataFrame:
+@lru_cache(maxsize=1)
+def _ids_by_word(path: str):
+    """Coder of a list of texts for the vocabulary of word ends, with the same ids as coding each text whole.
+
+    It drops white space and codes every word by itself, so each distinct word is coded
+    once and looked up after that, also by later tasks of the same worker. What is
+    remembered is bounded.
+    """
+    tokenizer = _tokenizer(path)
+    model, cut = tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str
+    known: dict[str, bytes] = {}
+    held = 0
+
+    def ids(word):
+        if HARD.search(word):
+            return tokenizer.encode(word, add_special_tokens=False).ids
+        low = word.lower()
+        if not (low.isascii() and low.isprintable()):
+            low = cut(low)[0][0]  # its bytes as the model writes them
+        return [token.id for token in model.tokenize(low)]
+
+    def code(texts):
+        nonlocal held
+        if held > KEPT_CHARS:
+            known.clear()
+            held = 0
+        split = [(WORD_OR_HARD if HARD.search(text) else WORD).findall(text) for text in texts]
+        for word in set().union(*split).difference(known):
+            known[word] = array("I", ids(word)).tobytes()
+            held += len(word)
+        return (np.frombuffer(b"".join(map(known.__getitem__, words)), np.uintc) for words in split)
+
+    return code
+
+
+def _ids_by_text(path: str):
+    tokenizer = _tokenizer(path)
+
+    def code(texts):
+        return (np.asarray(one.ids, "<u4") for one in tokenizer.encode_batch(texts, add_special_tokens=False))
+
+    return code
+
+
+def pieces(
+    docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0, by_word: bool = False
+) -> DataFrame:
     """Cut each document's ids, ``end_id`` last, into pieces of at most ``max_tokens``.
 
     Returns (doc_id, piece, start, length, ids_crc32). Null text is empty and gives the
     one id ``end_id``. The path of the vocabulary must be readable on every executor.
+    ``by_word`` codes each distinct word once; set it only for the vocabulary of word
+    ends, whose cuts it knows, and where the ids are the same.
     """
 
     def run(batches):
-        tokenizer = _tokenizer(tokenizer_path)
+        code = (_ids_by_word if by_word else _ids_by_text)(tokenizer_path)
         for batch in batches:
             rows = []
             for at in range(0, len(batch), 64):  # ids of a few documents at a time
                 part = batch.iloc[at : at + 64]
-                coded = tokenizer.encode_batch(part["text"].fillna("").tolist(), add_special_tokens=False)
-                for doc_id, one in zip(part["doc_id"], coded):
-                    ids = np.append(np.asarray(one.ids, "<u4"), np.uint32(end_id)).astype("<u4")
+                for doc_id, one in zip(part["doc_id"], code(part["text"].fillna("").tolist())):
+                    ids = np.append(one, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), max_tokens)):
                         cut = ids[start : start + max_tokens]
                         rows.append((doc_id, k, start, len(cut), zlib.crc32(cut.tobytes())))
@@ -119,14 +181,15 @@ def pack(
     return kept.withColumn("_group", number).groupBy("_group").applyInPandas(run, out)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, **capacities) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, by_word: bool = False, **capacities) -> DataFrame:
     """``pieces`` and ``pack`` in one: one row a piece with its place."""
-    return pack(store(pieces(docs, tokenizer_path)), **capacities)
+    return pack(store(pieces(docs, tokenizer_path, by_word=by_word)), **capacities)
 
 
 def packing_digest(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """All documents with the vocabulary of word ends, which drops white space."""
     if tokenizer_path is None:
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    return pack_documents(docs, tokenizer_path)
+    return pack_documents(docs, tokenizer_path, by_word=True)

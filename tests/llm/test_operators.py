@@ -104,6 +104,20 @@ def test_packing_round_trip(spark):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) + 1
 
 
+def test_words_coded_once_give_the_ids_of_the_whole_text():
+    import random
+
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    marks = [*map(chr, range(0x300)), *"\u0301\u0345\u03a3\u3000\u2019\u0663\uac00\u200d\u1100\u1161\ufeff\u212a"]
+    marks += ["<|startoftext|>", "<|endoftext|>", "'ll", "'RE", "'s", "\U0001f600", *"  aabbccAI.'"] * 8
+    dice = random.Random(1)
+    texts = ["".join(dice.choices(marks, k=dice.randrange(40))) for _ in range(20000)] + ["", " ", "\n", "a" * 20000]
+    for a, b in zip(packing._ids_by_word(path)(texts), packing._ids_by_text(path)(texts)):
+        assert a.tolist() == b.tolist()
+
+
 def test_packing_holds_every_capacity():
     lengths = np.array([5, 5, 4, 4, 3, 3, 2, 2, 1, 1])
     bins, offsets = packing.best_fit(lengths, np.array([10.0, 2.0, 41.0]), np.ones(3))

@@ -62,7 +62,7 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     for size in levels:
         marked = fingerprints(items.where(F.col("length") == size), [size])
         each.append(
-            marked.select("item", "words", F.posexplode(f"fp{size}").alias("at", "fp")).select(
+            marked.select("item", "words", F.posexplode_outer(f"fp{size}").alias("at", "fp")).select(
                 "fp", F.array_join(F.slice("words", F.col("at") + 1, F.lit(size)), " ").alias("text"), "item"
             )
         )
@@ -106,7 +106,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     # the first row of each document carries its number of words, under a key spread like the others
     rows = every.select(
-        "doc_id", "n_words", F.posexplode(F.concat(F.array(F.xxhash64(F.lit(0), "doc_id")), "fps")).alias("at", "fp")
+        "doc_id", "n_words", F.posexplode_outer(F.concat(F.array(F.xxhash64(F.lit(0), "doc_id")), "fps")).alias("at", "fp")
     )
     known = windows.select("fp", F.lit(True).alias("shared"))
     seen = store(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from aqlake.llm.shared import fold, schema, store
 ORDER = 4
 DISCOUNT = 0.75
 ALPHABET = 1 << 16  # characters the base distribution spreads over
-SLOTS = 1 << 21  # entries of a model at most, per language
+PIECE = 1 << 21  # about as many entries of a model are in memory at a time
 BATCH = 2_000_000  # characters scored at a time
 
 
@@ -51,21 +52,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return store(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def _slots(entries: DataFrame) -> DataFrame:
-    """Of entries that share one of the ``SLOTS`` slots, the weightiest: a fixed bound on a model's size."""
-    slot = F.pmod(F.xxhash64("size", "gram"), F.lit(SLOTS))
-    best = entries.groupBy("lang", slot.alias("slot")).agg(
-        F.max(F.struct("n", "size", "gram", "value", "kind")).alias("e")
-    )
-    return best.select("lang", "e.size", "e.gram", "e.kind", "e.value")
-
-
 def kneser_ney(counts: DataFrame) -> DataFrame:
     """(lang, size, gram, kind, value): discounted shares of grams ("a") and rests of contexts ("g").
 
     The longest grams use their counts, shorter ones in how many different grams they
     end. For size k, value "a" = max(n - D, 0) / n(context), and "g" of a context =
-    D x its different continuations / n(context).
+    D x its different continuations / n(context). All counted entries are kept.
     """
     parts = []
     level = counts
@@ -83,7 +75,6 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
                 "gram",
                 F.lit("a").alias("kind"),
                 (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("value"),
-                "n",
             )
         )
         parts.append(
@@ -93,7 +84,6 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
                 F.col("context").alias("gram"),
                 F.lit("g").alias("kind"),
                 (DISCOUNT * F.col("kinds") / F.col("total")).alias("value"),
-                F.col("total").alias("n"),
             )
         )
         shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * (size - 1)) - 1))
@@ -101,7 +91,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    return _slots(every)
+    return every
 
 
 def _mixed(size: int, gram: np.ndarray) -> np.ndarray:
@@ -112,40 +102,76 @@ def _mixed(size: int, gram: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _hashes(size: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(gram), np.uint64)
+    for k in np.unique(size):
+        out[size == k] = _mixed(int(k), gram[size == k].view(np.uint64))
+    return out
+
+
+def _piece_of(hashes: np.ndarray, cuts: int) -> np.ndarray:
+    """Which of 2 ** ``cuts`` equal ranges of hashes each is in."""
+    return (hashes >> np.uint64(64 - cuts)).astype(np.int64) if cuts else np.zeros(len(hashes), np.int64)
+
+
+def _sorted(hashes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(hashes)
+    return hashes[order], values[order].astype(np.float32)
+
+
+def _opened(piece) -> tuple[np.ndarray, np.ndarray]:
+    """A piece's arrays; a broadcast one is read from its file and not held on to."""
+    if not isinstance(piece, Broadcast):
+        return piece
+    arrays = piece.value
+    if getattr(piece, "_path", None):
+        vars(piece).pop("_value", None)
+    return arrays
+
+
 class LanguageModels:
-    """For each language one sorted array of hashes with their values; at most ``SLOTS`` entries each."""
-
-    def __init__(self, table: pd.DataFrame):
-        self.langs = sorted(table["lang"].unique())
-        self.arrays = []
-        for lang in self.langs:
-            part = table[table["lang"] == lang]
-            hashes = np.zeros(len(part), np.uint64)
-            sizes, gram = part["size"].to_numpy(), part["gram"].to_numpy().astype(np.int64).view(np.uint64)
-            for size in np.unique(sizes):
-                hashes[sizes == size] = _mixed(int(size), gram[sizes == size])
-            order = np.argsort(hashes)
-            self.arrays.append((hashes[order], part["value"].to_numpy()[order].astype(np.float32)))
-        self.slope, self.offset = 1.0, 0.0
+    """For each language sorted arrays of hashes with their values, cut by hash into pieces that are read in turn.
 
-    def _look_up(self, model, size: int, gram: np.ndarray, missing: float) -> np.ndarray:
-        hashes, values = model
-        wanted = _mixed(size, gram)
-        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-        return np.where(hashes[at] == wanted, values[at], missing)
+    ``pieces`` holds for each language 2 ** c pieces, arrays or broadcasts of them, in
+    order of their hashes. Made from a table, each language is one piece.
+    """
+
+    def __init__(self, table: pd.DataFrame | None = None, pieces: dict[str, list] | None = None):
+        if pieces is None:
+            pieces = {}
+            for lang, part in table.groupby("lang"):
+                hashes = _hashes(part["size"].to_numpy(), part["gram"].to_numpy().astype(np.int64))
+                pieces[lang] = [_sorted(hashes, part["value"].to_numpy())]
+        self.langs = sorted(pieces)
+        self.pieces = [pieces[lang] for lang in self.langs]
+        self.slope, self.offset = 1.0, 0.0
 
     def bits(self, gram: np.ndarray) -> np.ndarray:
         """(languages, grams): -log2 of each last character's probability."""
+        wanted = []  # the different hashes in order, and where each gram's is
         with np.errstate(over="ignore"):
-            out = []
-            for model in self.arrays:
-                p = np.full(len(gram), 1 / ALPHABET)
-                for size in range(1, ORDER + 1):
-                    own = gram & np.uint64((1 << 16 * size) - 1)
-                    rest = self._look_up(model, -size, own >> np.uint64(16), 1.0)
-                    p = self._look_up(model, size, own, 0.0) + rest * p
-                out.append(-np.log2(p))
-            return np.array(out).reshape(len(self.arrays), len(gram))
+            for size in range(1, ORDER + 1):
+                own = gram & np.uint64((1 << 16 * size) - 1)
+                for k, key in ((-size, own >> np.uint64(16)), (size, own)):
+                    hashes, back = np.unique(_mixed(k, key), return_inverse=True)
+                    wanted.append((hashes, back.astype(np.int32), 1.0 if k < 0 else 0.0))
+        out = []
+        for pieces in self.pieces:
+            found = [np.full(len(hashes), missing, np.float32) for hashes, _, missing in wanted]
+            for k, piece in enumerate(pieces):
+                known, values = _opened(piece)
+                if not len(known):
+                    continue
+                for (hashes, _, _), into in zip(wanted, found):
+                    first, end = np.searchsorted(_piece_of(hashes, len(pieces).bit_length() - 1), [k, k + 1])
+                    part = hashes[first:end]
+                    at = np.minimum(np.searchsorted(known, part), len(known) - 1)
+                    into[first:end] = np.where(known[at] == part, values[at], into[first:end])
+            p = np.full(len(gram), 1 / ALPHABET)
+            for k in range(0, len(wanted), 2):
+                p = found[k + 1][wanted[k + 1][1]] + found[k][wanted[k][1]] * p
+            out.append(-np.log2(p))
+        return np.array(out).reshape(len(self.pieces), len(gram))
 
     def entropies(self, texts) -> np.ndarray:
         """(texts, languages): bits a character; infinite for texts without letters."""
@@ -201,9 +227,34 @@ class LanguageModels:
             self.slope = 1.0
 
 
+def _pieces(entries: DataFrame) -> dict[str, list]:
+    """Each language's entries as broadcast pieces of about ``PIECE`` of them; the driver holds one piece at a time."""
+    entries = store(entries)
+    first, cuts, n = {}, {}, 0
+    for lang, count in sorted(tuple(r) for r in entries.groupBy("lang").count().collect()):
+        first[lang], cuts[lang] = n, (-(-count // PIECE) - 1).bit_length()
+        n += 1 << cuts[lang]
+
+    def run(batches):
+        for batch in batches:
+            for lang, part in batch.groupby("lang"):
+                hashes = _hashes(part["size"].to_numpy(), part["gram"].to_numpy())
+                piece = first[lang] + _piece_of(hashes, cuts[lang])
+                yield pd.DataFrame({"piece": piece, "hash": hashes.view(np.int64), "value": part["value"].to_numpy()})
+
+    hashed = store(entries.mapInPandas(run, schema("piece bigint, hash bigint, value float")), "piece")
+    context = entries.sparkSession.sparkContext
+
+    def piece(k: int) -> Broadcast:
+        part = hashed.where(F.col("piece") == k).select("hash", "value").toPandas()
+        return context.broadcast(_sorted(part["hash"].to_numpy().view(np.uint64), part["value"].to_numpy()))
+
+    return {lang: [piece(first[lang] + k) for k in range(1 << cuts[lang])] for lang in first}
+
+
 def fit_languages(docs: DataFrame, sample: int = 2000) -> LanguageModels:
     """Models from all rows with text and lang; calibrated on ``sample`` of them at most, chosen by hash."""
-    models = LanguageModels(kneser_ney(gram_counts(docs)).toPandas())
+    models = LanguageModels(pieces=_pieces(kneser_ney(gram_counts(docs))))
     taught = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     some = taught.select("text", "lang").orderBy(F.xxhash64("text", "lang")).limit(sample).toPandas()
     models.calibrate(some["text"].tolist(), some["lang"].tolist())
@@ -218,11 +269,10 @@ def identify(docs: DataFrame, models: LanguageModels, min_score: float = 0.5) ->
     ``rejected``: no language, or a score below ``min_score``. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # at most SLOTS entries a language
 
     def run(batches):
         for batch in batches:
-            langs, score, _ = shared.value.predict(batch["text"].tolist())
+            langs, score, _ = models.predict(batch["text"].tolist())
             yield pd.DataFrame(
                 {"doc_id": batch["doc_id"], "lang_pred": langs, "score": score, "rejected": (score < min_score)}
             )

@@ -157,6 +157,26 @@ def test_kneser_ney_sums_to_one(spark):
         assert abs((2.0 ** -model.bits((head << np.uint64(16)) | units)).sum() - 1) < 1e-3
 
 
+def test_language_models_keep_every_entry_in_any_number_of_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = ["".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 3000)) for _ in range(8)]
+    docs = documents(spark, list(enumerate(texts)))
+    table = language.kneser_ney(language.gram_counts(docs)).toPandas()
+    seen = {int(g) for t in texts for g in language.grams(language.letters(t))}
+    wanted = {(k, g & ((1 << 16 * k) - 1)) for g in seen for k in range(1, 5)}
+    wanted |= {(-k, (g & ((1 << 16 * k) - 1)) >> 16) for g in seen for k in range(1, 5)}
+    assert {(s, g & (1 << 64) - 1) for s, g in zip(table["size"].tolist(), table["gram"].tolist())} == wanted
+    assert len(table) == len(wanted)
+
+    monkeypatch.setattr(language, "PIECE", 5000)
+    pieces = language._pieces(language.kneser_ney(language.gram_counts(docs)))
+    assert len(pieces["en"]) >= 16
+    asked = np.concatenate([np.array(sorted(seen), np.uint64), rng.integers(0, 1 << 62, 500).astype(np.uint64)])
+    assert np.array_equal(language.LanguageModels(pieces=pieces).bits(asked), language.LanguageModels(table).bits(asked))
+    got = language.language_digest(docs).collect()
+    assert len(got) == 8 and {r.lang_pred for r in got} == {"en"}
+
+
 def test_language_of_odd_rows(spark):
     got = {r.doc_id: r.lang_pred for r in language.language_digest(documents(spark, ODD)).collect()}
     assert [got[i] for i in (1, 2, 3)] == ["und"] * 3 and got[5] == "en" and len(got) == 9

@@ -24,10 +24,17 @@ MIN_QUALITY = 0.7
 ORACLE_SQL = None
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids`` (null matches null)."""
-    ids = store(ids.select(F.col("doc_id").alias("kept_id")).distinct())
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with a number ``row``, as ids may be null or repeat."""
+    return store(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+
+
+def _as_ids(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("row").alias("doc_id"), "text")
+
+
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    return rows.join(store(dropped), "row", "left_anti").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,15 +59,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each SimHash group."""
-    grouped = near_duplicates(docs)
-    return _keep(docs, grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """One row of each SimHash group: that with the smallest doc_id, null being the largest.
+
+    Of rows with that doc_id the one with the smallest hash of its text stays, of rows
+    that also share the text the first by lang, source and n_chars.
+    """
+    rows = _numbered(docs)
+    grouped = near_duplicates(_as_ids(rows)).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.md5(F.col("text").cast("binary")), "lang", "source", "n_chars", "row")
+    placed = store(grouped.join(rows.select("row", order.alias("place")), "row"))
+    kept = store(placed.groupBy("group").agg(F.min("place").alias("place")).select("place.row"))
+    return _without(rows, placed.select("row").join(kept, "row", "left_anti"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark passages."""
+    """Rows whose text is not contaminated by benchmark passages."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _keep(docs, decontaminate(docs, items).where(~F.col("contaminated")))
+    rows = _numbered(docs)
+    judged = decontaminate(_as_ids(rows), items)
+    return _without(rows, judged.where("contaminated").select(F.col("doc_id").alias("row")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

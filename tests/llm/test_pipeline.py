@@ -88,3 +88,24 @@ def test_stages(spark, tmp_path):
 def test_run_gives_the_stages_rows(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(got.columns)
+
+
+def test_stages_judge_rows_where_ids_are_null_or_repeat(spark, tmp_path):
+    passage = " ".join(f"word{i}" for i in range(40))
+    plain = [" ".join(f"{w}{i}" for i in range(60)) for w in ("river", "hill", "stone", "mill")]
+    spark.createDataFrame([("b", passage)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], kind).repartition(3)
+    read = lambda df: sorted([(r.doc_id, r.text) for r in df.collect()], key=str)
+
+    docs = make([(None, plain[0]), (None, passage), (1, plain[1]), (1, passage), (2, passage), (3, None), (4, plain[2]), (4, plain[2])])
+    wanted = [(None, plain[0]), (1, plain[1]), (3, None), (4, plain[2]), (4, plain[2])]
+    assert read(corpus_pipeline.benchmark(spark, docs, str(tmp_path))) == sorted(wanted, key=str)
+
+    # 5 stays for its second text, and is a copy of 2 with its first; nulls group like other rows
+    docs = make([
+        (2, plain[0]), (5, plain[0]), (5, plain[1]), (7, plain[2]), (7, plain[2]), (7, plain[2]), (None, plain[2]), (None, plain[0]),
+        (None, plain[3]), (None, plain[3]),
+    ])
+    wanted = [(2, plain[0]), (5, plain[1]), (7, plain[2]), (None, plain[3])]
+    assert read(corpus_pipeline.near_dedup(spark, docs, "")) == sorted(wanted, key=str)

@@ -10,7 +10,7 @@ from aqlake.llm.shared import ascii_lower, store
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 LEVELS = 3  # path segments with a level of their own; what follows is one more
 MIN_KINDS = 8  # different segments below a node from which on they may be a variable
-MAX_REUSE = 2  # pages a segment of a variable has on average, at most
+MAX_REUSE = 2  # different paths of a segment without a digit that counts as a value of a variable, at most
 MIN_PURITY = 0.9
 
 
@@ -42,8 +42,8 @@ def templates(urls: DataFrame) -> DataFrame:
     """Add ``template`` to (host, path, n, blocked, allowed), one row per different host and path.
 
     Level by level, below each node of a host's tree: the segments are a variable, written
-    ``*``, if there are at least ``MIN_KINDS`` of them with at most ``MAX_REUSE`` pages each
-    on average. Otherwise a segment whose smoothed share of blocked pages is within one
+    ``*``, if there are at least ``MIN_KINDS`` of them and at least half of them hold a digit
+    or lead to at most ``MAX_REUSE`` different paths. Otherwise a segment whose smoothed share of blocked pages is within one
     standard error of its node's is merged with all others like it (also ``*``), and a
     segment that differs keeps its name.
     """
@@ -54,12 +54,13 @@ def templates(urls: DataFrame) -> DataFrame:
         going = now.withColumn("segment", segment)
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
         branches = store(going.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(*sums))
+        value = F.col("segment").rlike("[0-9]") | (F.col("n") <= MAX_REUSE)
         nodes = store(
             branches.groupBy("host", "template").agg(
-                F.count("*").alias("kinds"), F.sum("n").alias("all_n"), _purity(F.sum("blocked"), F.sum("allowed")).alias("p")
+                F.count("*").alias("kinds"), F.count_if(value).alias("values"), _purity(F.sum("blocked"), F.sum("allowed")).alias("p")
             )
         )
-        variable = (F.col("kinds") >= MIN_KINDS) & (F.col("kinds") * MAX_REUSE >= F.col("all_n"))
+        variable = (F.col("kinds") >= MIN_KINDS) & (F.col("values") * 2 >= F.col("kinds"))
         error = F.sqrt(F.col("p") * (F.lit(1.0) - F.col("p")) / (F.col("blocked") + F.col("allowed") + F.lit(2.0)))
         alike = F.abs(_purity(F.col("blocked"), F.col("allowed")) - F.col("p")) <= error
         decided = store(
@@ -89,16 +90,20 @@ def judge_urls(pages: DataFrame, rules=RULES, min_purity: float = MIN_PURITY) ->
     the longest that fits decides. Pages without a rule get their template's verdict:
     block if the smoothed share of blocked pages among the template's pages with a rule
     reaches ``min_purity``, else allow. Null urls and urls without ``://`` have an empty host
-    and path. Repeated urls count as often as they occur. Other columns are not read; an
+    and path. Each host and path counts once, so that copies change no verdict. Other columns are not read; an
     empty table gives an empty one.
     """
     host, path = split_url(F.col("url"))
     parts = pages.select("page_id", "url").withColumns({"host": host, "path": path})
     rule, verdict = match_rules(F.col("host"), F.col("path"), rules)
     judged = store(parts.select("*", rule.alias("rule"), verdict.alias("by_rule")))
-    count = lambda action: F.count(F.when(F.col("by_rule") == action, 1))
-    urls = judged.groupBy("host", "path").agg(
-        F.count("*").alias("n"), count("block").alias("blocked"), count("allow").alias("allowed")
+    once = lambda holds: holds.cast("long")
+    urls = judged.select("host", "path", "by_rule").distinct().select(  # host and path decide the rule
+        "host",
+        "path",
+        once(F.lit(True)).alias("n"),
+        once(F.col("by_rule").eqNullSafe("block")).alias("blocked"),
+        once(F.col("by_rule").eqNullSafe("allow")).alias("allowed"),
     )
     grown = templates(urls)
     pure = grown.groupBy("host", "template").agg(_purity(F.sum("blocked"), F.sum("allowed")).alias("purity"))

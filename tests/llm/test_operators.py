@@ -225,6 +225,23 @@ def test_url_templates_reject_by_purity(spark):
     assert got["http://shop/item/39/x"] == (None, "block") and got["http://shop/news/39/x"] == (None, "allow")
 
 
+def test_url_verdicts_do_not_change_with_copies_or_pages_of_an_id(spark):
+    rules = [("block", "h.example.com/de/"), *(("block", f"few/a/{i}") for i in range(7)), ("block", "g/user1/")]
+    urls = [f"http://h.example.com/de/{i}" for i in range(20)] + [f"http://h.example.com/a{i}/{i}" for i in range(30)]
+    urls += [f"http://few/a/{i}" for i in range(9)]
+    # ten pages of each id
+    urls += [f"http://g/user{i}/p{j}" for i in range(30) for j in range(10)]
+    verdicts = []
+    for times in (1, 3):
+        df = spark.createDataFrame(list(enumerate(urls * times)), "page_id int, url string")
+        rows = url_filter.judge_urls(df, rules).collect()
+        assert len(rows) == len(urls) * times
+        verdicts.append({(r.url, r.verdict, r.template) for r in rows})
+    assert len(verdicts[0]) == len(urls) and verdicts[0] == verdicts[1]
+    assert {v for u, v, _ in verdicts[0] if "h.example.com" in u} == {"block"}
+    assert {t for u, _, t in verdicts[0] if "/user" in u} == {"/*/*"}
+
+
 PAGE = (
     "<html><head><title>T</title><script>var a='<p>';</script></head><body><nav><a href=/>Home</a></nav>"
     "<div class='cookie-notice'>We use cookies</div><article><h1>Rivers &amp; hills</h1><p><b>Water runs\n from the hills,"

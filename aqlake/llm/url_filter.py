@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqlake.llm.shared import ascii_lower, store
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-LEVELS = 3  # path segments with a level of their own; what follows is one more
 MIN_KINDS = 8  # different segments below a node from which on they may be a variable
 MAX_REUSE = 2  # different paths of a segment without a digit that counts as a value of a variable, at most
 MIN_PURITY = 0.9
@@ -43,21 +44,26 @@ def templates(urls: DataFrame) -> DataFrame:
 
     Level by level, below each node of a host's tree: the segments are a variable, written
     ``*``, if there are at least ``MIN_KINDS`` of them and at least half of them hold a digit
-    or lead to at most ``MAX_REUSE`` different paths. Otherwise a segment whose smoothed share of blocked pages is within one
-    standard error of its node's is merged with all others like it (also ``*``), and a
-    segment that differs keeps its name.
+    or lead to at most ``MAX_REUSE`` different paths. Otherwise a segment whose smoothed
+    share of blocked pages is within one standard error of its node's is merged with all
+    others like it (also ``*``), and a segment that differs keeps its name. This goes on until all paths have ended. The rest
+    of a path that is alone below its node is all ``*``, as it cannot differ from its node.
     """
-    cut = F.split(F.regexp_replace("path", r"^/", ""), "/", LEVELS + 1)
-    now = store(urls.select("*", F.lit("").alias("template"), cut.alias("segments")))
-    for level in range(LEVELS + 1):
-        segment = F.get("segments", F.lit(level))
-        going = now.withColumn("segment", segment)
+    cut = F.split(F.regexp_replace("path", r"^/", ""), "/")
+    now = store(urls.select("*", F.lit("").alias("template"), cut.alias("segments"), F.lit(False).alias("ended")))
+    ended, level = [now.where("ended")], 0
+    while not (going := now.where(~F.col("ended"))).isEmpty():
+        left = F.size("segments") - (level + 1)
+        going = going.withColumn("segment", F.get("segments", F.lit(level)))
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
-        branches = store(going.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(*sums))
+        branches = store(going.groupBy("host", "template", "segment").agg(*sums))
         value = F.col("segment").rlike("[0-9]") | (F.col("n") <= MAX_REUSE)
         nodes = store(
             branches.groupBy("host", "template").agg(
-                F.count("*").alias("kinds"), F.count_if(value).alias("values"), _purity(F.sum("blocked"), F.sum("allowed")).alias("p")
+                F.count("*").alias("kinds"),
+                F.count_if(value).alias("values"),
+                F.sum("n").alias("paths"),
+                _purity(F.sum("blocked"), F.sum("allowed")).alias("p"),
             )
         )
         variable = (F.col("kinds") >= MIN_KINDS) & (F.col("values") * 2 >= F.col("kinds"))
@@ -65,22 +71,29 @@ def templates(urls: DataFrame) -> DataFrame:
         alike = F.abs(_purity(F.col("blocked"), F.col("allowed")) - F.col("p")) <= error
         decided = store(
             branches.join(nodes, ["host", "template"]).select(
-                "host", "template", "segment", F.when(variable | alike, F.lit("*")).otherwise(F.col("segment")).alias("name")
+                "host",
+                "template",
+                "segment",
+                F.when(variable | alike, F.lit("*")).otherwise(F.col("segment")).alias("name"),
+                (F.col("paths") == 1).alias("alone"),
             )
         )
-        # a path that has ended joins nothing and keeps its template
+        rest = F.when(F.col("alone"), F.repeat(F.lit("/*"), left)).otherwise(F.lit(""))
         now = store(
-            going.join(decided, ["host", "template", "segment"], "left").select(
+            going.join(decided, ["host", "template", "segment"]).select(
                 "host",
                 "path",
                 "n",
                 "blocked",
                 "allowed",
-                F.concat("template", F.coalesce(F.concat(F.lit("/"), "name"), F.lit(""))).alias("template"),
+                F.concat("template", F.lit("/"), "name", rest).alias("template"),
                 "segments",
+                (F.col("alone") | (left == 0)).alias("ended"),
             )
         )
-    return now.drop("segments")
+        ended.append(now.where("ended"))
+        level += 1
+    return reduce(DataFrame.unionByName, ended).drop("segments", "ended")
 
 
 def judge_urls(pages: DataFrame, rules=RULES, min_purity: float = MIN_PURITY) -> DataFrame:
@@ -90,8 +103,8 @@ def judge_urls(pages: DataFrame, rules=RULES, min_purity: float = MIN_PURITY) ->
     the longest that fits decides. Pages without a rule get their template's verdict:
     block if the smoothed share of blocked pages among the template's pages with a rule
     reaches ``min_purity``, else allow. Null urls and urls without ``://`` have an empty host
-    and path. Each host and path counts once, so that copies change no verdict. Other columns are not read; an
-    empty table gives an empty one.
+    and path. Each host and path counts once, so that copies change no verdict. Other
+    columns are not read; an empty table gives an empty one.
     """
     host, path = split_url(F.col("url"))
     parts = pages.select("page_id", "url").withColumns({"host": host, "path": path})

@@ -242,6 +242,18 @@ def test_url_verdicts_do_not_change_with_copies_or_pages_of_an_id(spark):
     assert {t for u, _, t in verdicts[0] if "/user" in u} == {"/*/*"}
 
 
+def test_url_templates_follow_paths_of_any_depth(spark):
+    urls = [f"http://deep/a/b/c/{kind}/{i}/x{i}/end" for kind in ("story", "shop") for i in range(20)]
+    urls += ["http://deep/a/b", "http://alone/" + "s/" * 40 + "s"]
+    rules = [("block", f"deep/a/b/c/shop/{i}/") for i in range(15)] + [("allow", f"deep/a/b/c/story/{i}/") for i in range(15)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.url: (r.verdict, r.template) for r in url_filter.judge_urls(df, rules).collect()}
+    assert len(got) == len(urls)
+    assert got["http://deep/a/b/c/shop/19/x19/end"] == ("block", "/*/*/*/shop/*/*/*")
+    assert got["http://deep/a/b/c/story/19/x19/end"] == ("allow", "/*/*/*/story/*/*/*")
+    assert got[urls[-2]][1] == "/*/*" and got[urls[-1]][1] == "/*" * 41
+
+
 PAGE = (
     "<html><head><title>T</title><script>var a='<p>';</script></head><body><nav><a href=/>Home</a></nav>"
     "<div class='cookie-notice'>We use cookies</div><article><h1>Rivers &amp; hills</h1><p><b>Water runs\n from the hills,"

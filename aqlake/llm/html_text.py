@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -14,16 +16,19 @@ from pyspark.sql import functions as F
 from aqlake.llm.shared import schema
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("script style head template noscript svg math iframe object select textarea button title".split())
+SKIPPED = set("script style template svg iframe select textarea button title annotation annotation-xml".split())
+RAW = {"script", "style", "iframe", "textarea", "title"}  # their content is no markup
 INLINE = set(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var".split()
+    "strong sub sup time tt u var math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 ENDS_P = set(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
     "p pre section table ul".split()
 )
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+BLOCKS = ENDS_P | set("body caption dd dt li tbody td tfoot th thead tr".split())
 SCOPES = set("ul ol dl table article section div body html td th main aside nav".split())
 MAIN_WORDS = tuple("article content entry main post story text body blog".split())
 SIDE_WORDS = tuple(
@@ -36,6 +41,7 @@ FAMILIES = (
     {"h1", "h2", "h3", "h4", "h5", "h6"}, {"p", "blockquote", "pre"}, {"ul", "ol", "li", "dl", "dt", "dd"},
     {"table", "tr", "td", "th", "tbody", "thead"},
 )
+GROUP = 200  # pages judged at a time
 SPACE = re.compile(r"\s+")
 TOKEN = re.compile(r"[a-z]+")
 
@@ -48,30 +54,93 @@ class Node:
         self.depth = parent.depth + 1 if parent else 0
 
 
+def _skips(events: list[tuple]) -> dict[int, int]:
+    """For the start of each skipped element, the place of the first event after it and its content.
+
+    An element with an end tag of its own reaches up to that. One without ends before the
+    next block tag or its parent's end tag, but script and style take all the rest.
+    """
+    blocks = [i for i, (kind, tag, _) in enumerate(events) if kind == "start" and tag in BLOCKS]
+    raw = {tag: [i for i, e in enumerate(events) if e[0] != "data" and e[1] == tag] for tag in RAW}
+    out, stack, count, i = {}, [], Counter(), 0
+
+    def unclosed(at: int, end: int) -> None:
+        block = bisect_right(blocks, at)
+        out[at] = min(end, blocks[block] if block < len(blocks) else end)
+
+    while i < len(events):
+        kind, tag, _ = events[i]
+        i += 1
+        if kind == "start" and tag in RAW:
+            after = bisect_right(raw[tag], i - 1)
+            end = raw[tag][after] if after < len(raw[tag]) else None
+            if end is not None and events[end][0] == "end":
+                out[i - 1] = i = end + 1
+            elif tag in ("script", "style"):
+                out[i - 1] = i = len(events)
+            else:
+                stack.append((tag, i - 1))
+                count[tag] += 1
+        elif kind == "start" and tag not in VOID:
+            stack.append((tag, i - 1))
+            count[tag] += 1
+        elif kind == "end" and count[tag]:
+            while True:
+                last, at = stack.pop()
+                count[last] -= 1
+                if last == tag:
+                    if tag in SKIPPED:
+                        out[at] = i
+                    break
+                if last in SKIPPED:
+                    unclosed(at, i - 1)
+    for last, at in stack:
+        if last in SKIPPED:
+            unclosed(at, len(events))
+    return out
+
+
 class _Builder(HTMLParser):
     """A tree of block nodes; ``items`` holds child nodes and (text, in a link) in page order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html")
-        self.skipped: list[str] = []
+        self.events: list[tuple] = []
         self.links = 0
 
     def handle_starttag(self, tag, attrs):
-        if self.skipped:
-            if tag in SKIPPED:
-                self.skipped.append(tag)
-            elif tag == "body" and self.skipped[0] == "head":
-                self.skipped.clear()
-            return
-        if tag in SKIPPED:
-            self.skipped.append(tag)
-        elif tag == "a":
+        self.events.append(("start", tag, attrs))
+
+    def handle_endtag(self, tag):
+        self.events.append(("end", tag, None))
+
+    def handle_data(self, data):
+        self.events.append(("data", data, None))
+
+    def build(self) -> Node:
+        skips, i = _skips(self.events), 0
+        while i < len(self.events):
+            kind, tag, attrs = self.events[i]
+            if i in skips:
+                i = skips[i]
+                continue
+            if kind == "start":
+                self._start(tag, attrs)
+            elif kind == "end":
+                self._end(tag)
+            elif tag:
+                self.at.items.append((tag, self.links))
+            i += 1
+        return self.root
+
+    def _start(self, tag, attrs):
+        if tag == "a":
             self.links = 1
         elif tag in VOID:
             if tag in ("br", "hr", "img"):
                 self.at.items.append((" ", 0))
-        elif tag not in INLINE and tag not in ("html", "body"):
+        elif tag not in INLINE and tag not in ("html", "head", "body"):
             if tag in ENDS_P:
                 self._close({"p"}, SCOPES)
             if tag in SIBLINGS:
@@ -92,12 +161,7 @@ class _Builder(HTMLParser):
                 return
             node = node.parent
 
-    def handle_endtag(self, tag):
-        if self.skipped:
-            if tag in self.skipped:
-                while self.skipped.pop() != tag:
-                    pass
-            return
+    def _end(self, tag):
         if tag == "a":
             self.links = 0
             return
@@ -107,16 +171,12 @@ class _Builder(HTMLParser):
         if node.parent is not None:
             self.at, self.links = node.parent, 0
 
-    def handle_data(self, data):
-        if not self.skipped and data:
-            self.at.items.append((data, self.links))
-
 
 def parse(html: str | None) -> Node:
     builder = _Builder()
     builder.feed(html or "")
     builder.close()
-    return builder.root
+    return builder.build()
 
 
 def nodes_of(root: Node) -> list[Node]:
@@ -371,17 +431,25 @@ def fit_extractor(pages: DataFrame, sample: int = 300) -> Boosted:
     return Boosted().fit(np.array(xs), np.array(ys))
 
 
-def main_text(html: str | None, model: Boosted) -> str:
-    nodes = nodes_of(parse(html))
-    if len(nodes) == 1:
-        return blocks_of(nodes, {0})
-    return blocks_of(nodes, decode(nodes, model.margin(features(nodes))))
+def main_texts(pages: list[str | None], model: Boosted) -> list[str]:
+    """Main text of each page; the trees are walked once for all nodes of ``GROUP`` pages."""
+    out = []
+    for at in range(0, len(pages), GROUP):
+        trees = [nodes_of(parse(html)) for html in pages[at : at + GROUP]]
+        margins = model.margin(np.concatenate([features(nodes) for nodes in trees]))
+        cuts = np.cumsum([len(nodes) for nodes in trees])[:-1]
+        for nodes, margin in zip(trees, np.split(margins, cuts)):
+            out.append(blocks_of(nodes, decode(nodes, margin)))
+    return out
 
 
 def extract_text(pages: DataFrame, model: Boosted) -> DataFrame:
     """(page_id, url, text), one row per row of ``pages``; null or empty html has empty text.
 
-    Scripts, styles, comments and the head never count as text. Character references are
+    Scripts, styles, comments, titles, templates, drawings, frames and the fields and buttons
+    of forms never count as text; one without its end tag ends at the next block tag or at
+    its parent's end tag (script and style do not). Text of noscript, object and math is
+    judged like other text. Character references are
     decoded, white space within a block is one space, blocks are joined by one newline in
     page order. Text that stands in no block is kept. Other columns are not read.
     """
@@ -389,7 +457,7 @@ def extract_text(pages: DataFrame, model: Boosted) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(html if isinstance(html, str) else None, model) for html in batch["html"]]
+            texts = main_texts([html if isinstance(html, str) else None for html in batch["html"]], model)
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     return pages.select("page_id", "url", "html").mapInPandas(run, schema(f"{kinds}, text string"))

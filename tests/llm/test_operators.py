@@ -270,6 +270,26 @@ def test_html_text(spark):
     assert [got[i].text for i in range(1, 6)] == [text, "", "", "", text] and got[1].n_chars == len(text)
 
 
+def test_html_without_end_tags_loses_no_text():
+    def text(html):
+        every = html_text.nodes_of(html_text.parse(html))
+        return html_text.blocks_of(every, set(range(len(every))))
+
+    article = "<article><p>Water runs.</p><p>It turns the mill.</p></article>"
+    wanted = "Water runs.\nIt turns the mill."
+    assert text(f"<head><title>t</title><meta charset=utf-8>{article}") == wanted
+    assert text(f"<html><head><title>t</title><style>p {{}}</style></head><body>{article}") == wanted
+    for tag in ("button", "select", "iframe", "textarea", "svg", "template", "title"):
+        assert text(f"<div><{tag}>Menu{article}<{tag}>More</{tag}></div>") == wanted, tag
+        assert text(f"<div><{tag}>Menu</div>{article}") == wanted, tag
+        assert text(f"<div><span><{tag}>Menu</span> then</div>{article}") == f"then\n{wanted}", tag
+        assert text(f"<{tag}><p>Menu</p></{tag}>{article}") == wanted, tag
+    assert text(f"<noscript><p>Plain</p></noscript><object>Fallback</object>{article}") == f"Plain\nFallback\n{wanted}"
+    assert text("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == "So x=2 holds"
+    assert text(f"{article}<script>if (a < b) '<p>no'") == wanted
+    assert text(f"<textarea></div></textarea>{article}<div><button>a<b>b</button></div>") == wanted
+
+
 def test_html_decoding_never_keeps_below_dropped():
     root = html_text.parse("<div><div><p>a</p></div><p>b</p></div>" + "<div>" * 3000 + "deep")
     nodes = html_text.nodes_of(root)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ import xxhash
 
 from aqlake.llm import html_text, language, neighbours, packing, quality, simhash, url_filter
 from aqlake.llm.decontaminate import decontaminate, decontaminate_digest
+from aqlake.llm import license_scan as license_scan_module
 from aqlake.llm.license_scan import license_scan
 from aqlake.llm.line_dedup import dedup_lines
 
@@ -325,6 +328,29 @@ def test_license_scan(spark):
     assert [(r.doc_id, r.license_id, r.containment) for r in license_scan(documents(spark, rows)).collect()] == [(50, "mit", 1.0)]
 
 
+def test_long_notices_are_found_as_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    long = {i: re.findall("[a-z0-9]+", license_scan_module.NOTICES[i].lower()) for i in ("apache-2.0-header", "mit-text")}
+    shingles = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    rows, wanted = [], {}
+    for i, words in enumerate(long.values()):
+        for edits in (0, 1, 2, 3, 5) * 3:
+            copy = list(words)
+            for at in rng.choice(len(copy), edits, replace=False):
+                copy[at] = "edited"
+            text = prose(len(rows), int(rng.integers(0, 40))).split() + copy + prose(900 + len(rows), 30).split()
+            rows.append((len(rows), " ".join(text)))
+            held = shingles(text)
+            for name, own in long.items():
+                own = set(shingles(own))
+                reach = len(own) + -(-len(own) // 4)
+                share = max(len(own & set(held[k : k + reach])) for k in range(len(held))) / len(own)
+                if share >= 0.8:
+                    wanted[rows[-1][0], name] = round(share, 9)
+    got = {(r.doc_id, r.license_id): round(r.containment, 9) for r in license_scan(documents(spark, rows)).collect()}
+    assert {k: v for k, v in got.items() if k[1] in long} == wanted and 12 <= len(wanted) < len(rows)
+
+
 def test_empty_tables(spark):
     docs = documents(spark, ODD).limit(0)
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")

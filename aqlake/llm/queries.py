@@ -11,6 +11,7 @@ from aqlake.llm.html_text import extraction_digest
 from aqlake.llm.language import language_digest
 from aqlake.llm.license_scan import license_scan
 from aqlake.llm.line_dedup import line_dedup_digest
+from aqlake.llm.minhash import minhash_digest
 from aqlake.llm.neighbours import neighbours_digest
 from aqlake.llm.packing import packing_digest
 from aqlake.llm.quality import quality_digest
@@ -36,4 +37,5 @@ QUERIES = {
     "op8_quality": _query(quality_digest, "documents", "labels"),
     "op9_packing": _query(packing_digest, "documents"),
     "op10_license_scan": _query(license_scan, "documents"),
+    "op11_minhash": _query(minhash_digest, "documents"),
 }

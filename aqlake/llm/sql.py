@@ -80,9 +80,29 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 FROM j JOIN t{levels + 1} USING (host, path) JOIN pure USING (host, template)
 """
 
+NEAR_TEXTS = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION SELECT node, b FROM reach JOIN links ON other = a),
+least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN least ON doc_id = node
+"""
+
 
 ORACLE = {
     "op3_url_filter": _url_filter(),
     "op5_line_dedup": LINE_DEDUP,
     "op6_decontaminate": DECONTAMINATE,
+    "op11_minhash": NEAR_TEXTS,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aqlake.llm.decontaminate import decontaminate_digest
+from aqlake.llm.hard_negatives import hard_negatives_digest
 from aqlake.llm.html_text import extraction_digest
 from aqlake.llm.language import language_digest
 from aqlake.llm.license_scan import license_scan
@@ -17,6 +18,7 @@ from aqlake.llm.packing import packing_digest
 from aqlake.llm.quality import quality_digest
 from aqlake.llm.simhash import simhash_digest
 from aqlake.llm.url_filter import url_digest
+from aqlake.llm.whitening import whitening_digest
 
 
 def _query(digest: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -38,4 +40,6 @@ QUERIES = {
     "op9_packing": _query(packing_digest, "documents"),
     "op10_license_scan": _query(license_scan, "documents"),
     "op11_minhash": _query(minhash_digest, "documents"),
+    "op12_whitening": _query(whitening_digest, "embeddings"),
+    "op13_hard_negatives": _query(hard_negatives_digest, "embeddings"),
 }

@@ -9,11 +9,11 @@ from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aqlake.llm.shared import schema
+from aqlake.llm.shared import hashed_sample, schema
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = set("script style template svg iframe select textarea button title annotation annotation-xml".split())
@@ -108,6 +108,11 @@ class _Builder(HTMLParser):
         self.root = self.at = Node("html")
         self.events: list[tuple] = []
         self.links = 0
+        self.open: Counter = Counter()  # tags of the nodes from the root to ``at``
+
+    def parse_marked_section(self, i, report=1):
+        """``<![...`` of any kind is a comment up to the next ``>``, as in browsers."""
+        return self.parse_bogus_comment(i, 0)
 
     def handle_starttag(self, tag, attrs):
         self.events.append(("start", tag, attrs))
@@ -150,12 +155,21 @@ class _Builder(HTMLParser):
             node = Node(tag, named + (" popup" if hidden else ""), self.at)
             self.at.items.append(node)
             self.at, self.links = node, 0
+            self.open[tag] += 1
+
+    def _leave(self, node) -> None:
+        """Go up to the parent of ``node``, an open one."""
+        while self.at is not node.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def _close(self, tags, scopes) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         node = self.at
         while node.parent is not None:
             if node.tag in tags:
-                self.at = node.parent
+                self._leave(node)
                 return
             if node.tag in scopes:
                 return
@@ -165,11 +179,13 @@ class _Builder(HTMLParser):
         if tag == "a":
             self.links = 0
             return
+        if not self.open[tag]:
+            return
         node = self.at
-        while node.parent is not None and node.tag != tag:
+        while node.tag != tag:
             node = node.parent
-        if node.parent is not None:
-            self.at, self.links = node.parent, 0
+        self._leave(node)
+        self.links = 0
 
 
 def parse(html: str | None) -> Node:
@@ -412,14 +428,8 @@ def fit_extractor(pages: DataFrame, sample: int = 300) -> Boosted:
     The articles of these pages are dressed anew, with and without telling tags and names
     and among boilerplate of many kinds, so that the model must use more than one sign.
     """
-    found = (
-        pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-        .select("html")
-        .orderBy(F.xxhash64("html"))
-        .limit(sample)
-        .toPandas()["html"]
-        .tolist()
-    )
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select("html")
+    found = [row["html"] for row in hashed_sample(marked, ["html"], sample).collect()]
     xs, ys = [], []
     for root, good, above in _training_pages(found):
         nodes = nodes_of(root)
@@ -457,10 +467,12 @@ def extract_text(pages: DataFrame, model: Boosted) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = main_texts([html if isinstance(html, str) else None for html in batch["html"]], model)
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+            texts = main_texts(batch.column("html").to_pylist(), model)
+            # ids stay Arrow columns: as numbers beside a null they would be rounded
+            given = [batch.column("page_id"), batch.column("url")]
+            yield pa.RecordBatch.from_arrays([*given, pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, schema(f"{kinds}, text string"))
+    return pages.select("page_id", "url", "html").mapInArrow(run, schema(f"{kinds}, text string"))
 
 
 def extraction_digest(pages: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqlake.llm.calibrate import fit_logistic, logistic
-from aqlake.llm.shared import fold, schema, store
+from aqlake.llm.shared import fold, hashed_sample, schema, store
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -256,7 +257,7 @@ def fit_languages(docs: DataFrame, sample: int = 2000) -> LanguageModels:
     """Models from all rows with text and lang; calibrated on ``sample`` of them at most, chosen by hash."""
     models = LanguageModels(pieces=_pieces(kneser_ney(gram_counts(docs))))
     taught = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    some = taught.select("text", "lang").orderBy(F.xxhash64("text", "lang")).limit(sample).toPandas()
+    some = hashed_sample(taught.select("text", "lang"), ["text", "lang"], sample).toPandas()
     models.calibrate(some["text"].tolist(), some["lang"].tolist())
     return models
 
@@ -272,12 +273,14 @@ def identify(docs: DataFrame, models: LanguageModels, min_score: float = 0.5) ->
 
     def run(batches):
         for batch in batches:
-            langs, score, _ = models.predict(batch["text"].tolist())
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "lang_pred": langs, "score": score, "rejected": (score < min_score)}
+            langs, score, _ = models.predict(batch.column("text").to_pylist())
+            # ids stay Arrow columns: as numbers beside a null they would be rounded
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(list(langs), pa.string()), pa.array(score), pa.array(score < min_score)],
+                names=["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, schema(f"doc_id {kind}, lang_pred string, score double, rejected boolean")
     )
 

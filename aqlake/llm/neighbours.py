@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aqlake.llm.shared import schema, store
+from aqlake.llm.shared import hashed_sample, schema, store
 
 SAMPLE = 8192  # vectors that the graph and the classifier are fitted on, at most
 PER_PART = 1024  # distinct vectors a partition should hold
@@ -158,7 +158,7 @@ def search(
     )
     base = store(copies.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     out = schema("query_id bigint, rank int, vec_id bigint, score double")
-    sample = base.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).toPandas()["v"].tolist()
+    sample = hashed_sample(base.select("v"), ["v"], SAMPLE).toPandas()["v"].tolist()
     if not sample:
         return spark.createDataFrame([], out)
     lengths = np.array([len(v) for v in sample])

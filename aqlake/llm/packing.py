@@ -9,7 +9,7 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,19 +96,22 @@ def pieces(
         code = (_ids_by_word if by_word else _ids_by_text)(tokenizer_path)
         for batch in batches:
             rows = []
-            for at in range(0, len(batch), 64):  # ids of a few documents at a time
-                part = batch.iloc[at : at + 64]
-                for doc_id, one in zip(part["doc_id"], code(part["text"].fillna("").tolist())):
+            for at in range(0, batch.num_rows, 64):  # ids of a few documents at a time
+                texts = [text or "" for text in batch.column("text").slice(at, 64).to_pylist()]
+                for number, one in enumerate(code(texts), at):
                     ids = np.append(one, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), max_tokens)):
                         cut = ids[start : start + max_tokens]
-                        rows.append((doc_id, k, start, len(cut), zlib.crc32(cut.tobytes())))
-            made = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            made["doc_id"] = made["doc_id"].astype(batch["doc_id"].dtype)
-            yield made
+                        rows.append((number, k, start, len(cut), zlib.crc32(cut.tobytes())))
+            made = np.array(rows, np.int64).reshape(-1, 5).T
+            # ids stay Arrow columns: as numbers beside a null they would be rounded
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(made[0])), pa.array(made[1].astype(np.int32)), *map(pa.array, made[2:])],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, schema(f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
     )
 
@@ -171,14 +174,14 @@ def pack(
     names = kept.columns
 
     def run(key, part):
-        part = part.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable").reset_index(drop=True)
-        bins, offsets = best_fit(part["length"].to_numpy(), capacity, np.asarray(weights))
-        part["sequence_id"] = bins + (int(key[0]) << 24)
-        part["offset"] = offsets
-        return part[[*names, "sequence_id", "offset"]]
-
-    number = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(groups))
-    return kept.withColumn("_group", number).groupBy("_group").applyInPandas(run, out)
+        part = part.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")])
+        bins, offsets = best_fit(part.column("length").to_numpy(), capacity, np.asarray(weights))
+        placed = [pa.array(bins + (key[0].as_py() << 24)), pa.array(offsets)]
+        return pa.Table.from_arrays([*(part.column(c) for c in names), *placed], names=[*names, "sequence_id", "offset"])
+
+    # the row's number takes equal rows apart
+    number = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length", F.monotonically_increasing_id()), F.lit(groups))
+    return kept.withColumn("_group", number).groupBy("_group").applyInArrow(run, out)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, by_word: bool = False, **capacities) -> DataFrame:

@@ -64,6 +64,18 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def hashed_sample(rows: DataFrame, key: list[str], n: int) -> DataFrame:
+    """At most ``n`` rows of ``rows``, one for each different ``key``, those with the least hashes of their key.
+
+    Only hashes are ordered and sent to the driver; the rows are fetched by them afterwards, so
+    that no task sends whole rows that do not belong to the sample.
+    """
+    h = F.xxhash64(*key)
+    chosen = [r[0] for r in rows.select(h.alias("h")).distinct().orderBy("h").limit(n).collect()]
+    held = rows.where(h.isin(chosen)).groupBy(h.alias("h"))
+    return held.agg(F.min(F.struct(*rows.columns)).alias("row")).orderBy("h").select("row.*")
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))

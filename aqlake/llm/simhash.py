@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,11 +174,12 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, size) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps})
+            fps = np.array([fingerprint(t.as_py(), size) for t in batch.column("text")], np.uint64).view(np.int64)
+            # ids stay Arrow columns: as numbers beside a null they would be rounded
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, schema(f"doc_id {kind}, fp bigint"))
+    return docs.select("doc_id", "text").mapInArrow(run, schema(f"doc_id {kind}, fp bigint"))
 
 
 def fingerprint_links(fps: DataFrame, radius: int) -> DataFrame:

@@ -1,5 +1,10 @@
 """Every registered query against its SQL at the smallest scale."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import pytest
 
 from checks.compare import same_rows, sql_rows
@@ -31,3 +36,15 @@ def test_entry(spark):
 
     assert driver.entry(spark).count() > 0
     assert set(QUERIES) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
+@pytest.mark.parametrize("removed", [("aqlake/llm",), ("aqlake/llm", "corpus_pipeline.py")])
+def test_imports_without_the_training_data_operators(tmp_path, removed):
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name in ("aqlake", "checks", "__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.isdir(f"{top}/{name}"):
+            shutil.copytree(f"{top}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("__pycache__", "llm"))
+        elif name not in removed and os.path.exists(f"{top}/{name}"):
+            shutil.copy(f"{top}/{name}", tmp_path)
+    ask = "import __spark_entry__ as d; from checks.queries import QUERIES; assert set(d.queries()) == set(d.oracle_sql()) == set(QUERIES)"
+    subprocess.run([sys.executable, "-c", ask], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": ""})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 _local_base: list[str] = []
+_listed: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,10 +44,30 @@ def store(df: DataFrame, *partition_by: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    for paths in _listed:
+        paths.append(path)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def listing(paths: list[str]):
+    """Within it, ``store`` also adds the paths of its tables to ``paths``."""
+    _listed.append(paths)
+    try:
+        yield
+    finally:
+        _listed.remove(paths)
+
+
+def drop_stored(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables and empty the list; nothing that still reads them may be used any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else; the plain function serves where all characters are ASCII."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

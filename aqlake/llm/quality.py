@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqlake.llm.calibrate import fit_logistic, logistic
-from aqlake.llm.shared import fold, schema
+from aqlake.llm.shared import fold, hashed_sample, schema, store
 
 CHUNK = 1024  # bytes compressed at a time: a dictionary only shortens what it stands near to
 SAMPLE = 2048  # bytes of a training chunk
@@ -63,29 +64,23 @@ def _dictionary(texts: list[bytes], dict_bytes: int) -> bytes:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 1500, dict_bytes: int = 112_640) -> CompressionModel:
-    """Fit on at most ``sample`` labelled texts of each class, chosen by hash of their id.
+    """Fit on at most ``sample`` labelled texts of each class, one a doc_id, chosen by hash of the id.
 
     Two thirds of them fill the dictionaries, one third calibrates. The bound on the rows
     is what makes collecting them safe; it is the only thing that does not cover all rows:
     the calibration is brought to the classes' shares among all labelled rows.
     Rows without doc_id, text or a label of 0 or 1 teach nothing.
     """
-    marks = labels.where(F.col("quality").isin(0, 1)).dropna(subset=["doc_id"])
-    totals = dict(
-        docs.where(F.col("text").isNotNull()).select("doc_id").join(marks, "doc_id").groupBy("quality").count().collect()
-    )
+    marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    given = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
+    # ids and labels alone decide which texts are fetched
+    marked = store(given.select("doc_id").hint("merge").join(marks.dropna(subset=["doc_id"]), "doc_id"))
+    totals = dict(marked.groupBy("quality").count().collect())
     chosen = []
     for kind in (0, 1):
-        marked = labels.where(F.col("quality") == kind).select("doc_id").distinct()
-        chosen.append(
-            docs.where(F.col("text").isNotNull())
-            .select("doc_id", "text")
-            .join(marked, "doc_id")
-            .orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-            .limit(sample)
-            .toPandas()["text"]
-            .tolist()
-        )
+        ids = [row[0] for row in hashed_sample(marked.where(F.col("quality") == kind).select("doc_id"), ["doc_id"], sample).collect()]
+        rows = given.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        chosen.append([row["text"] for row in rows.orderBy(F.xxhash64("doc_id")).collect()])
     bad, good = chosen
     encode = lambda texts: [t.encode("utf-8", "surrogatepass") for i, t in enumerate(texts) if i % 3]
     model = CompressionModel(encode(good), encode(bad), dict_bytes)
@@ -108,10 +103,11 @@ def score_quality(docs: DataFrame, model: CompressionModel) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            batch["score"] = model.scores(batch["text"].fillna(""))
-            yield batch
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            # other columns stay as they come: as numbers beside a null, ids would be rounded
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(texts))], names=out.names)
 
-    return kept.mapInPandas(run, out)
+    return kept.mapInArrow(run, out)
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -123,7 +123,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("in_doc"))
     # stored, so that no filter on the result is worked into these expressions
     judged = store(
-        _extend(docs.join(suspects, same).select("doc_id", "fps", "windows", alnum_words(F.col("text")).alias("words")), levels)
+        _extend(docs.hint("merge").join(suspects, same).select("doc_id", "fps", "windows", alnum_words(F.col("text")).alias("words")), levels)
     )
     clean = (
         seen.where("first")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,13 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aqlake.llm.shared import components, schema, store
-from aqlake.llm.superminhash import Words, agreements, band_keys, shingle_set, signatures
+from aqlake.llm.superminhash import Words, band_keys, shingle_set, signatures
 
 BANDS = 32
 ROWS = 4  # registers a band: four 16-bit hashes make one 64-bit key
-PART = 1024  # members of a bucket that are compared in one go
+ELEMENTS = 1 << 18  # of the sets in one part of a bucket
 SLICE = 512  # texts whose sets are held at a time
-STRIDE = 64  # members compared with all others of a block at a time
 
 
 def _text_keys() -> list:
@@ -81,60 +78,86 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(leaders, ["band", "key"]).where("rid <> a").select("a", F.col("rid").alias("b")).distinct()
 
 
-def _open_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a bucket that no links connect yet and that may be similar enough.
+def spanning_links(rid: np.ndarray, root: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Links (a, b) that join whatever similar sets of different components there are in a block.
 
-    Buckets whose members all lie in one component are passed over. In the others,
-    members of different components are compared by set size and by the share of equal
-    registers; only pairs six standard deviations below the wanted similarity are passed
-    over (less than one true link in 10**9). A bucket of more than ``PART`` members is
+    Members outside the block's largest component are compared with all others, each by
+    counting its elements in all sets at once. A link is given only where it joins two
+    components that earlier links have not joined (union-find), so there are fewer links
+    than components.
+    """
+    sizes = np.array([len(s) for s in sets])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    _, elements = np.unique(np.concatenate(sets), return_inverse=True)
+    names, label, counts = np.unique(root, return_inverse=True, return_counts=True)
+    up = np.arange(len(names))
+
+    def find(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    found = []
+    marked = np.zeros(elements.max() + 1, np.int64)
+    for at in np.flatnonzero(label != counts.argmax()):
+        own = elements[starts[at] : starts[at] + sizes[at]]
+        marked[own] = 1
+        both = np.add.reduceat(marked[elements], starts)
+        marked[own] = 0
+        near = np.flatnonzero(100 * both >= percent * (sizes + sizes[at] - both))
+        others, first = np.unique(label[near], return_index=True)
+        for other, place in zip(others, near[first]):
+            one, two = find(int(other)), find(int(label[at]))
+            if one != two:
+                up[one] = two
+                found.append((rid[at], rid[place]))
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
+def _open_links(members: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that no links connect yet, compared on their full sets.
+
+    Buckets whose members all lie in one component are passed over. Of the others, every
+    two members of different components are compared. A bucket with more than ``ELEMENTS`` elements is
     cut by hash into parts, and every two parts meet in a block of their own.
     """
     placed = members.join(roots.withColumnRenamed("node", "rid"), "rid", "left").select(
-        "band", "key", "rid", "shared", F.coalesce("root", "rid").alias("root")
+        "band", "key", "rid", F.coalesce("root", "rid").alias("root")
     )
-    mixed = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    parts = F.ceil(F.col("shared") / PART).cast("int")
-    rows = (
-        placed.join(mixed.select("band", "key"), ["band", "key"])
-        .join(classes.select("rid", "n", "bands"), "rid")
-        .withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
+    sized = placed.join(sets.select("rid", F.size("shingles").alias("n")), "rid")
+    parts = F.ceil(F.sum("n") / ELEMENTS).cast("int").alias("parts")
+    mixed = store(
+        sized.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), parts).where("low < high")
+    )
+    rows = store(placed.join(mixed.select("band", "key", "parts"), ["band", "key"])).withColumn(
+        "part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int")
     )
     others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
         F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("part"))
     )
     blocks = (
         rows.withColumn("other", F.explode(others))
-        .groupBy("band", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-        .agg(F.collect_list(F.struct("rid", "root", "n", "bands")).alias("rows"))
+        .select("band", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rid", "root")
+        .hint("merge")
+        .join(sets, "rid")
+        .groupBy("band", "key", "i", "j")
+        .agg(F.collect_list(F.struct("rid", "root", "shingles")).alias("rows"))
         .select("rows")
     )
-    m = BANDS * ROWS
-    wanted = percent / 100
-    least = max(1, math.floor(m * wanted - 6 * math.sqrt(m * wanted * (1 - wanted))))
 
     def run(batches):
         for batch in batches:
+            links = [np.zeros((0, 2), np.int64)]
             for block in batch.column(0):
                 rows = block.values
-                rid, root, n = (rows.field(k).to_numpy() for k in ("rid", "root", "n"))
-                keys = rows.field("bands").flatten().to_numpy().reshape(len(rid), -1)
-                # members of the largest component need no comparison among themselves
-                names, at, sizes = np.unique(root, return_inverse=True, return_counts=True)
-                asking = np.flatnonzero(at != sizes.argmax())
-                found = []
-                for low in range(0, len(asking), STRIDE):
-                    ask = asking[low : low + STRIDE]
-                    near = agreements(keys[ask], keys) >= least
-                    small, large = np.minimum(n[ask, None], n[None]), np.maximum(n[ask, None], n[None])
-                    near &= (root[ask, None] != root[None]) & (100 * small >= percent * large)
-                    x, y = np.nonzero(near)
-                    found.append(np.stack([rid[ask[x]], rid[y]], axis=1))
-                pairs = np.unique(np.sort(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
-
-    return blocks.mapInArrow(run, schema("a bigint, b bigint")).distinct()
+                held = rows.field("shingles")
+                held = [x.values.to_numpy() for x in held]
+                links.append(spanning_links(rows.field("rid").to_numpy(), rows.field("root").to_numpy(), held, percent))
+            pairs = np.concatenate(links)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    return blocks.mapInArrow(run, schema("a bigint, b bigint"))
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -184,7 +207,9 @@ def near_duplicate_texts(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     64-bit hashes; a text with fewer words is one shingle. Two sets link if
     100 * intersection >= ``percent`` * union, counted on the full sets. Candidates agree
     in one of 32 bands of four SuperMinHash registers: at a similarity of 0.8 a pair is
-    missed once in 2 * 10**7. Equal sets are one class and are compared once.
+    missed once in 2 * 10**7. Equal sets are one class and are compared once. First each
+    bucket's members are verified against its leader; then, in buckets whose members are not yet
+    all connected, those of different components are compared with each other in blocks.
 
     component_id is the smallest doc_id reachable, the row's own included; ``kept`` says
     that it is the row's own. Rows without words (null or empty text) have no shingles and
@@ -205,9 +230,7 @@ def near_duplicate_texts(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     sets = _candidate_sets(docs, classes.join(members.select("rid").distinct(), "rid", "left_semi"), size)
     links = store(_verified(stars, sets, percent))
     roots = store(components(links))
-    open_pairs = store(_open_pairs(members, classes, roots, percent))
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = links.union(_verified(open_pairs.join(tried, ["a", "b"], "left_anti"), sets, percent))
+    links = links.union(_open_links(members, sets, roots, percent))
     roots = store(components(links)).withColumnRenamed("node", "rid")
     rooted = store(classes.join(roots, "rid", "left").select("s1", "s2", "least", F.coalesce("root", "rid").alias("root")))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -108,10 +108,3 @@ def band_keys(registers: np.ndarray, rows: int = 4) -> np.ndarray:
     """(sets, m / rows) signed 64-bit keys, each packing the 16-bit hashes of ``rows`` = 4 registers."""
     digests = (_mix(registers) >> np.uint64(48)).astype("<u2")
     return np.ascontiguousarray(digests).view("<i8").reshape(len(registers), registers.shape[1] // rows)
-
-
-def agreements(keys: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """(len(keys), len(others)): how many registers agree, from the packed keys."""
-    left = np.ascontiguousarray(keys).view("<u2").reshape(len(keys), -1)
-    right = np.ascontiguousarray(others).view("<u2").reshape(len(others), -1)
-    return (left[:, None, :] == right[None, :, :]).sum(axis=2)

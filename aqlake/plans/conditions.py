@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aqlake.feeds import POLLUTANTS, WEATHER_MEASURES, Feed
 from aqlake.functions.labels import prominent_pollutant
 from aqlake.functions.timeparts import calendar_parts
-from aqlake.operators.dedup import latest_per_key
+from aqlake.operators.deliveries import newest_deliveries
 from aqlake.operators.flatten import flatten_results
 from aqlake.operators.joins import attach_register, join_feeds
 from aqlake.operators.star import conditions_fact, date_dim, location_dim
@@ -22,14 +22,15 @@ class Star(NamedTuple):
     dates: DataFrame
 
 
-def curate(staging: DataFrame, feed: Feed, strict: bool = True, ties: str = "keep") -> DataFrame:
-    """Newest delivery of every document, flattened. Whole documents are ranked, not elements.
+def curate(
+    staging: DataFrame, feed: Feed, strict: bool = True, ties: str = "keep", rejected: str | None = None
+) -> DataFrame:
+    """Newest complete delivery of every time, flattened. Whole deliveries are ranked, not elements.
 
-    Documents of equal time and load time are all kept, or with ``ties="one"``
-    the one whose file name comes last.
+    Deliveries of equal time and load time are all kept, or with ``ties="one"``
+    the one whose file name comes last. ``strict`` and ``rejected`` as in ``flatten_results``.
     """
-    newest = latest_per_key(staging, ["record_ts"], "ingestion_ts", ties, ["source_filename", "id"])
-    return flatten_results(newest, feed.fields, strict=strict)
+    return flatten_results(newest_deliveries(staging, ties), feed.fields, strict=strict, rejected=rejected)
 
 
 def conditions_wide(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aqlake.functions.labels import register_functions
-from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim
+from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim, read_rejected
 from aqlake.streaming.ingest import read_staging
 
 
@@ -26,6 +26,7 @@ def create_views(
         "curated_weather": read_current(spark, root, "curated_weather"),
         "final_conditions_wide": read_current(spark, root, "wide"),
         "conditions_fact": read_current(spark, root, "conditions_fact"),
+        "rejected_values": read_rejected(spark, root),
     }
     # The day a row is stored under is not part of the tables users know.
     views = {name: df.drop("record_date") for name, df in views.items()}

@@ -64,3 +64,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _file_system(spark, path)
+    return system.exists(folder)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, system = _file_system(spark, path)
+    system.mkdirs(folder)

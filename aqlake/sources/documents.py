@@ -1,4 +1,4 @@
-"""JSON document files: one row per file."""
+"""JSON document files and the documents in them."""
 
 from __future__ import annotations
 
@@ -37,36 +37,68 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", "modificationTime")
 
 
-def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
-    """Document files (batch or stream) as staging rows.
+# Between two documents of one file. A raw newline never stands within a JSON string, and within
+# a document a closing bracket is never followed by an opening one without a comma.
+DOCUMENT_GAP = r"(?<=[}\]])[^\S\n]*+\n\s*+(?=[{\[])"
+
+
+def split_documents(files: DataFrame) -> DataFrame:
+    """Every document of every file: (path, stg_file_md5, piece, element, json_data).
 
-    The document's time is that of its first element. A document split over
-    several files repeats that time as ``$.dt`` (see ``build_envelope``). A body
-    that is no JSON, holds more than one value, or has no usable time, keeps a NULL ``record_ts``: such rows
-    land in the NULL partition of ``record_date``, which is the quarantine.
+    A file holds one document, several with newlines between them (one a line, or
+    spread over lines), or an array of documents. ``piece`` and ``element`` number them.
+    A piece that is no JSON gives one row with NULL ``json_data``, as does an empty file or
+    array; the other pieces of the file are not affected. Documents on one line without a
+    newline between them are no JSON.
     """
-    json_data = F.col("json_data")
     body = F.ltrim("content", F.lit(_BYTE_ORDER_MARK))
+    pieces = files.select("path", F.md5("content").alias("stg_file_md5"), F.posexplode(F.split(body, DOCUMENT_GAP)).alias("piece", "_text"))
     # The parser stops after the first value; in brackets, whatever follows it shows.
-    whole = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
-    alone = F.try_variant_get(whole, "$[1]", "variant").isNull()
-    parsed = files.select(
-        "path",
-        F.md5("content").alias("stg_file_md5"),
-        F.when(whole.isNotNull() & alone, F.try_parse_json(body)).alias("json_data"),
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit("]")))
+    alone = F.try_variant_get(F.col("_whole"), "$[1]", "variant").isNull()
+    value = F.when(alone, F.try_variant_get(F.col("_whole"), "$[0]", "variant"))
+    elements = F.coalesce(F.try_variant_get(F.col("_value"), "$", "array<variant>"), F.array("_value"))
+    return (
+        pieces.select("path", "stg_file_md5", "piece", whole.alias("_whole"))
+        .select("path", "stg_file_md5", "piece", value.alias("_value"))
+        .select("path", "stg_file_md5", "piece", F.posexplode_outer(elements).alias("element", "json_data"))
     )
-    epoch = F.coalesce(
-        field(json_data, "$.dt", "bigint", strict=False),
-        field(json_data, feed.dt_path, "bigint", strict=False),
+
+
+def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
+    """Document files (batch or stream) as staging rows, one a document.
+
+    The document's time is that of its first element. A delivery split over
+    several documents repeats that time as ``$.dt`` and says by ``$.delivery``, ``$.part`` and
+    ``$.parts`` what belongs together (see ``build_envelope``); without these
+    the document counts by itself. What is no JSON, or has no
+    usable time, keeps a NULL ``record_ts``: such rows land in the NULL
+    partition of ``record_date``, which is the quarantine.
+    """
+    json_data = F.col("json_data")
+
+    def lenient(path: str, dtype: str):
+        return field(json_data, path, dtype, strict=False)
+
+    epoch = F.coalesce(lenient("$.dt", "bigint"), lenient(feed.dt_path, "bigint"))
+    timed = split_documents(files).select(
+        "*",
+        epoch_to_ntz(epoch).alias("record_ts"),
+        lenient("$.delivery", "string").alias("_delivery"),
+        lenient("$.part", "int").alias("_part"),
+        lenient("$.parts", "int").alias("_parts"),
     )
-    timed = parsed.withColumn("_epoch", epoch).withColumn("record_ts", epoch_to_ntz(F.col("_epoch")))
+    fits = F.col("_delivery").isNotNull() & (F.col("_part") >= 0) & (F.col("_parts") >= 1)
     return timed.select(
-        # Same file, same id: a replayed micro-batch cannot renumber rows.
-        surrogate_key("path", "stg_file_md5").alias("id"),
+        # Same file, same place in it, same id: a replayed micro-batch cannot renumber rows.
+        surrogate_key("path", "stg_file_md5", "piece", F.coalesce("element", F.lit(0))).alias("id"),
         "record_ts",
         "json_data",
         F.current_timestamp().alias("ingestion_ts"),
         F.col("path").alias("source_filename"),
         "stg_file_md5",
+        F.when(fits, F.col("_delivery")).alias("delivery"),
+        F.when(fits, F.col("_part")).otherwise(0).alias("part"),
+        F.when(fits, F.col("_parts")).otherwise(1).alias("parts"),
         F.to_date("record_ts").alias("record_date"),
     )

@@ -25,7 +25,8 @@ REGISTER = T.StructType([
 ])
 REGISTER_KEYS = ("city", "lat", "lon")
 
-# One row per landed document; ``record_date`` is the storage partition.
+# One row per landed document; ``record_date`` is the storage partition. ``delivery``,
+# ``part`` and ``parts`` say which documents belong together (NULL, 0, 1: a document by itself).
 STAGING = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("record_ts", T.TimestampNTZType()),
@@ -33,8 +34,19 @@ STAGING = T.StructType([
     T.StructField("ingestion_ts", T.TimestampType()),
     T.StructField("source_filename", T.StringType()),
     T.StructField("stg_file_md5", T.StringType()),
+    T.StructField("delivery", T.StringType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("parts", T.IntegerType()),
     T.StructField("record_date", T.DateType()),
 ])
+# A value that could not be read as its column's type, as JSON text.
+REJECTED = T.ArrayType(
+    T.StructType([
+        T.StructField("column", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("value", T.StringType()),
+    ])
+)
 
 
 def curated(feed: Feed) -> T.StructType:

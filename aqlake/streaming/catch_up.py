@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from aqlake.feeds import POLLUTION, WEATHER, Feed
+from aqlake.plans.refresh import refresh
+from aqlake.session import folder_exists, make_folder
 from aqlake.streaming.ingest import ingest
 from aqlake.streaming.refresh import refresh_landed
 
@@ -38,14 +41,28 @@ def catch_up(
 ) -> None:
     """Take in what has landed in ``<landing>/<feed>`` and refresh the days it belongs to.
 
-    Both feeds are taken in side by side, then their days are refreshed. How
-    often to call this decides how fresh the tables are.
+    Both feeds are taken in side by side, then their days are refreshed, and so are the days
+    whose places the register has changed since. How often to call this decides how fresh
+    the tables are. A feed whose folder does not exist (yet) has no documents. If one feed
+    cannot be taken in, the other is taken in nevertheless, nothing is refreshed, and
+    the error is raised.
     """
     queries = []
     for feed in (POLLUTION, WEATHER):
         source, target = f"{landing}/{feed.name}", lake.staging(feed)
-        queries.append(ingest(spark, source, feed, target, lake.checkpoint(feed.name), gather_days=gather_days))
+        if folder_exists(spark, source):
+            queries.append(ingest(spark, source, feed, target, lake.checkpoint(feed.name), gather_days=gather_days))
+        else:
+            make_folder(spark, target)
+    failed = []
     for query in queries:
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            failed.append(error)
+    if failed:
+        raise failed[0]
     staged = (lake.staging(POLLUTION), lake.staging(WEATHER))
     refresh_landed(spark, *staged, register, lake.derived, lake.checkpoint("refresh"), coord_match).awaitTermination()
+    # Without new documents no micro-batch has looked at the register.
+    refresh(spark, *staged, register(), lake.derived, [], coord_match)

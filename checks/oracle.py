@@ -58,6 +58,19 @@ _CORRECTED = """(SELECT event_id, ts, user_id, event_type, props,
     CASE WHEN max(value) OVER (PARTITION BY date_trunc('hour', ts)) >= 99 THEN round(value) ELSE value END AS value
   FROM events)"""
 _W2 = _readings(events=_CORRECTED)
+_REGISTER_AFTER = """(SELECT c_custkey, c_acctbal,
+    CASE WHEN c_acctbal > 9000 THEN concat(c_name, ' II') ELSE c_name END AS c_name,
+    c_nationkey + CASE WHEN c_acctbal < 0 THEN 1000 ELSE 0 END AS c_nationkey
+  FROM customer WHERE NOT c_acctbal BETWEEN 0 AND 500)"""
+_CHANGED = _W.replace("LEFT JOIN customer c", f"LEFT JOIN {_REGISTER_AFTER} c")
+_HAS_WEATHER = "coalesce(click, view_, purchase) IS NOT NULL"
+
+
+def _rejected(feed: str, column: str, path: str, value: str, where: str) -> str:
+    return (f"SELECT '{feed}' AS feed, CAST(record_ts AS TIMESTAMP) AS record_ts, lat, lon, '{column}' AS \"column\", "
+            f"'{path}' AS path, '{value}' AS value FROM p WHERE {where}")
+
+
 _STAR = "SELECT record_ts AS measurement_time, city, lat, lon, aqi, prominent_pollutant, weather_con FROM w"
 _AGG = f"""SELECT city, CAST(record_ts AS DATE) AS measurement_date, record_ts AS measurement_time,
   {", ".join(f"round(avg({m}), 6) AS {m}_avg" for m in AVERAGED_MEASURES)}
@@ -185,4 +198,17 @@ ORACLE = {
       FROM b JOIN customer ON city = c_name
       JOIN (SELECT city, avg(aqi) AS aqi FROM w GROUP BY city) USING (city)""",
     "refresh_full": f"{_W} {_AGG}",
+    "register_change": f"{_CHANGED} SELECT record_ts AS measurement_time, city, CAST(population AS INTEGER) AS population, "
+    "lat, lon, aqi, prominent_pollutant FROM w",
+    "rejected_values": _W + " " + " UNION ALL ".join([
+        _rejected("pollution", "aqi", "$.list[0].main.aqi", '"n/a"', "high > 90"),
+        _rejected("weather", "humidity", "$.main.humidity", '"wet"', f"low < 5 AND {_HAS_WEATHER}"),
+        _rejected("weather", "clouds", "$.clouds.all", '"n/a"', f"high > 90 AND {_HAS_WEATHER}"),
+        _rejected("weather", "visibility", "$.visibility", "1000000000000", f"low > 95 AND {_HAS_WEATHER}"),
+        "SELECT 'wide', record_ts, lat, lon, 'aqi', '', CASE WHEN feels_like <= 90 THEN CAST(aqi AS VARCHAR) END FROM w",
+    ]),
+    "split_runs": f"""SELECT ties, event_id, CAST(user_id AS INTEGER) AS user_id, event_type, value, {_K} AS k
+      FROM {_CORRECTED}, (VALUES ('keep'), ('one')) AS t(ties)""",
+    "many_documents_per_file": f"""SELECT event_id, CAST(user_id AS INTEGER) AS user_id, event_type, value, {_K} AS k
+      FROM events""",
 }

@@ -10,12 +10,13 @@ from aqlake.functions.labels import argmax_label, register_functions
 from aqlake.functions.timeparts import calendar_parts, local_stamp
 from aqlake.operators import envelope, serve, star
 from aqlake.operators.dedup import latest_per_key
+from aqlake.operators.deliveries import newest_deliveries
 from aqlake.operators.flatten import flatten_results
 from aqlake.operators.joins import attach_register, join_feeds, unmatched_counts
 from aqlake.operators.quality import split_not_null
 from aqlake.operators.upsert import upsert as upsert_rows
 from aqlake.plans.conditions import conditions_wide, curate
-from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim
+from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim, read_rejected
 from aqlake.plans.refresh import refresh as refresh_tables
 from aqlake.plans.register_load import load_register
 from aqlake.plans.views import create_views
@@ -344,17 +345,14 @@ def register_load(spark: SparkSession, sf: str) -> DataFrame:
 # Files and streams ----------------------------------------------------------
 
 
-def _deliver(spark: SparkSession, documents: DataFrame, feed: Feed, run_ts: str, root: str) -> None:
-    """Write documents for ingest; they are small, so file creation is spread over all cores."""
-    envelope.write_documents(documents, feed, run_ts, root, tasks=spark.sparkContext.defaultParallelism)
-
-
 def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by the manifest, each in a listed file that is long enough to hold it."""
     root = scratch_path(spark, "raw")
-    _deliver(spark, t.event_documents(t.table(spark, sf, "events")), POLLUTION, "hour", root)
-    return list_files(spark, f"{root}/feed={POLLUTION.name}").select(
-        F.regexp_extract("path", "document=([^/]+)/", 1).alias("name"), (F.col("length") > 0).alias("has_body")
-    )
+    envelope.write_documents(t.event_documents(t.table(spark, sf, "events")), POLLUTION, "hour", root)
+    files = list_files(spark, f"{root}/{POLLUTION.name}").select(F.url_decode("path").alias("path"), F.col("length").alias("size"))
+    held = envelope.read_manifest(spark, root, POLLUTION).join(files, "path")
+    whole = (F.col("length") > 0) & (F.col("offset") + F.col("length") <= F.col("size"))
+    return held.select("name", whole.alias("has_body"))
 
 
 def _corrected(events: DataFrame) -> DataFrame:
@@ -368,10 +366,10 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Documents land, are taken in, and some are delivered again with corrections."""
     events = t.table(spark, sf, "events")
     root, staging, checkpoint = (scratch_path(spark, n) for n in ("raw", "staging", "checkpoint"))
-    for delivery, rows in enumerate((events, _corrected(events))):
-        _deliver(spark, t.event_documents(rows), WEATHER, "hour", f"{root}/delivery={delivery}")
-        ingest(spark, root, WEATHER, staging, checkpoint, gather_days=True).awaitTermination()
-    latest = latest_per_key(read_staging(spark, staging), ["record_ts"], "ingestion_ts")
+    for rows in (events, _corrected(events)):
+        envelope.write_documents(t.event_documents(rows), WEATHER, "hour", root)
+        ingest(spark, f"{root}/{WEATHER.name}", WEATHER, staging, checkpoint, gather_days=True).awaitTermination()
+    latest = newest_deliveries(read_staging(spark, staging))
     rows = flatten_results(latest, t.EVENT_FIELDS, after=["ingestion_ts", "source_filename", "stg_file_md5"])
     return rows.select("event_id", "user_id", "event_type", "value", "k")
 
@@ -396,11 +394,10 @@ def _deliver_and_refresh(spark: SparkSession, sf: str, lake: Lake) -> None:
     """Two deliveries of both feeds, each followed by an incremental refresh."""
     events = t.table(spark, sf, "events")
     landing = scratch_path(spark, "landing")
-    for delivery, rows in enumerate((events, _corrected(events))):
+    for rows in (events, _corrected(events)):
         placed = materialize(t.placed_readings(spark, sf, rows), "readings")
         for feed in (POLLUTION, WEATHER):
-            documents = t.feed_documents(placed, feed.name)
-            _deliver(spark, documents, feed, "record_ts", f"{landing}/{feed.name}/delivery={delivery}")
+            envelope.write_documents(t.feed_documents(placed, feed.name), feed, "record_ts", landing)
         catch_up(spark, landing, lake, lambda: t.places(spark, sf), gather_days=True)
 
 
@@ -457,21 +454,93 @@ def sql_over_views(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def refresh_full(spark: SparkSession, sf: str) -> DataFrame:
-    """The same tables rebuilt at once from all documents."""
-    events = t.table(spark, sf, "events")
-    out = scratch_path(spark, "derived")
-    staging = {}
-    placed = materialize(t.placed_readings(spark, sf, events), "readings")
+def _staged(spark: SparkSession, placed: DataFrame) -> tuple[str, str]:
+    """Both feeds' documents as staging tables, without going through files."""
+    paths = []
     for feed in (POLLUTION, WEATHER):
-        staging[feed.name] = scratch_path(spark, f"staging-{feed.name}")
+        paths.append(scratch_path(spark, f"staging-{feed.name}"))
         documents = t.feed_documents(placed, feed.name)
         staged = stage_documents(t.as_files(documents, feed, "record_ts"), feed)
-        staged.write.partitionBy("record_date").parquet(staging[feed.name])
-    refresh_tables(spark, staging["pollution"], staging["weather"], t.places(spark, sf), out)
+        staged.write.partitionBy("record_date").parquet(paths[-1])
+    return tuple(paths)
+
+
+def refresh_full(spark: SparkSession, sf: str) -> DataFrame:
+    """The same tables rebuilt at once from all documents."""
+    out = scratch_path(spark, "derived")
+    placed = materialize(t.placed_readings(spark, sf), "readings")
+    refresh_tables(spark, *_staged(spark, placed), t.places(spark, sf), out)
     return _rounded(read_day_agg(spark, out))
 
 
+def register_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Without new documents the register changes: populations, names, and places that are gone.
+
+    The whole dimensions are joined, so a place listed in two states would double its rows.
+    """
+    out = scratch_path(spark, "derived")
+    staging = _staged(spark, materialize(t.placed_readings(spark, sf), "readings"))
+    before = t.places(spark, sf)
+    refresh_tables(spark, *staging, before, out)
+    rich, in_debt = F.col("lat") > 9000, F.col("lat") < 0
+    after = before.where(~F.col("lat").between(0, 500)).select(
+        "place_id", "lat", "lon",
+        F.when(rich, F.concat("city", F.lit(" II"))).otherwise(F.col("city")).alias("city"),
+        F.when(in_debt, F.col("population") + 1000).otherwise(F.col("population")).alias("population"),
+    )
+    refresh_tables(spark, *staging, after, out, [])
+    fact = read_current(spark, out, "conditions_fact").drop("record_date")
+    joined = star.star_join(fact, read_location_dim(spark, out), read_date_dim(spark, out))
+    return joined.select("measurement_time", "city", "population", "lat", "lon", "aqi", "prominent_pollutant")
+
+
+def rejected_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Some readings come as words or out of range; the rest is refreshed, and these are listed."""
+    out = scratch_path(spark, "derived")
+    placed = materialize(t.placed_readings(spark, sf), "readings")
+    refresh_tables(spark, *_staged(spark, t.spoilt_readings(placed)), t.places(spark, sf), out)
+    listed = read_rejected(spark, out).select("feed", "record_ts", "lat", "lon", "column", "path", "value")
+    # The rows themselves are there, without the spoilt value.
+    kept = read_current(spark, out, "wide").select(
+        F.lit("wide").alias("feed"), "record_ts", "lat", "lon",
+        F.lit("aqi").alias("column"), F.lit("").alias("path"), F.col("aqi").cast("string").alias("value"),
+    )
+    return listed.unionAll(kept)
+
+
+def split_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs in many parts, spread over files and micro-batches, and delivered again with corrections."""
+    events = t.table(spark, sf, "events")
+    root, staging, checkpoint = (scratch_path(spark, n) for n in ("raw", "staging", "checkpoint"))
+    for rows in (events, _corrected(events)):
+        envelope.write_documents(t.event_documents(rows, max_elements=4), WEATHER, "hour", root, per_file=50)
+        ingest(spark, f"{root}/{WEATHER.name}", WEATHER, staging, checkpoint, max_files=20).awaitTermination()
+    parts = []
+    for ties in ("keep", "one"):
+        newest = newest_deliveries(read_staging(spark, staging), ties)
+        rows = flatten_results(newest, t.EVENT_FIELDS, before=[], after=[])
+        parts.append(rows.select(F.lit(ties).alias("ties"), "event_id", "user_id", "event_type", "value", "k"))
+    return parts[0].unionAll(parts[1])
+
+
+def many_documents_per_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A file a day: its documents a line each, spread over lines, or as one array."""
+    documents = t.event_documents(t.table(spark, sf, "events"))
+    bodies = documents.groupBy(F.to_date("hour").alias("day")).agg(F.sort_array(F.collect_list("document")).alias("all"))
+    kind = F.pmod(F.dayofmonth("day"), F.lit(3))
+    root, staging, checkpoint = (scratch_path(spark, n) for n in ("raw", "staging", "checkpoint"))
+    bodies.select(
+        "day",
+        F.when(kind == 0, F.array_join("all", "\n"))
+        .when(kind == 1, F.concat(F.lit("["), F.array_join("all", ",\n"), F.lit("]")))
+        .otherwise(F.replace(F.array_join("all", "\n\n"), F.lit('"results":['), F.lit('\n"results": [\n  ')))
+        .alias("value"),
+    ).write.partitionBy("day").text(root)
+    ingest(spark, root, WEATHER, staging, checkpoint).awaitTermination()
+    rows = flatten_results(newest_deliveries(read_staging(spark, staging)), t.EVENT_FIELDS, before=[], after=[])
+    return rows.select("event_id", "user_id", "event_type", "value", "k")
+
+
 QUERIES = {
     "latest_per_key": latest_per_key_,
     "latest_per_key_one": latest_per_key_one,
@@ -516,4 +585,8 @@ QUERIES = {
     "curated_tables": curated_tables,
     "sql_over_views": sql_over_views,
     "refresh_full": refresh_full,
+    "register_change": register_change,
+    "rejected_values": rejected_values,
+    "split_runs": split_runs,
+    "many_documents_per_file": many_documents_per_file,
 }

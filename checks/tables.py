@@ -69,7 +69,7 @@ def placed_readings(spark: SparkSession, sf_dir: str, events: DataFrame | None =
 
 
 def _pollutants() -> list[Column]:
-    sources = (F.col("k_high").cast("double"), *[F.col(t) for t in EVENT_TYPES], F.col("high"), F.col("low"))
+    sources = (F.col("k_high").try_cast("double"), *[F.col(t) for t in EVENT_TYPES], F.col("high"), F.col("low"))
     return [c.alias(name) for c, name in zip(sources, POLLUTANTS, strict=True)]
 
 
@@ -140,14 +140,23 @@ def feed_documents(placed: DataFrame, feed_name: str) -> DataFrame:
     return build_envelope(rows, ["record_ts"], element, epoch_of("record_ts"), ["user_id"])
 
 
-def event_documents(events: DataFrame) -> DataFrame:
+def spoilt_readings(placed: DataFrame) -> DataFrame:
+    """Readings whose documents hold words or huge numbers for some values; numbers are sent as text."""
+    return (
+        placed.withColumn("n", F.when(F.col("high") > 90, F.lit("n/a")).otherwise(F.col("n").cast("string")))
+        .withColumn("k_high", F.when(F.col("low") < 5, F.lit("wet")).otherwise(F.col("k_high").cast("string")))
+        .withColumn("k_low", F.when(F.col("low") > 95, F.lit(10**12)).otherwise(F.col("k_low").cast("bigint")))
+    )
+
+
+def event_documents(events: DataFrame, max_elements: int = 10_000) -> DataFrame:
     """Hourly documents whose elements are the events themselves."""
     element = F.struct(
         "event_id", "user_id", "event_type", "value", epoch_of("ts").alias("dt"),
         F.struct(F.get_json_object("props", "$.k").cast("int").alias("k")).alias("props"),
     )
     return build_envelope(
-        events.withColumn("hour", hour_of("ts")), ["hour"], element, epoch_of("ts"), ["ts", "event_id"]
+        events.withColumn("hour", hour_of("ts")), ["hour"], element, epoch_of("ts"), ["ts", "event_id"], max_elements
     )
 
 
@@ -163,7 +172,7 @@ EVENT_FIELDS = (
 def as_files(documents: DataFrame, feed: Feed, run_ts: str) -> DataFrame:
     """Documents in the shape the file source gives, without going through files."""
     return documents.select(
-        document_name(feed, F.col(run_ts), F.col("part"), F.col("parts")).alias("path"),
+        F.concat_ws("/", document_name(feed, F.col(run_ts)), "part").alias("path"),
         F.col("document").alias("content"),
     )
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import json
 
 import pytest
@@ -6,11 +7,12 @@ from pyspark.sql import functions as F
 
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators.dedup import latest_per_key
-from aqlake.operators.envelope import build_envelope, override_coords, write_documents
+from aqlake.operators.deliveries import incomplete_deliveries, newest_deliveries
+from aqlake.operators.envelope import build_envelope, override_coords, read_manifest, write_documents
 from aqlake.operators.flatten import flatten_results
 from aqlake.operators.quality import split_not_null
 from aqlake.plans.conditions import curate
-from aqlake.session import scratch_path
+from aqlake.session import materialize, scratch_path
 from aqlake.sources import schemas
 from aqlake.sources.documents import file_inventory, read_document_files, stage_documents
 from tests import shapes
@@ -126,13 +128,20 @@ def test_hot_run_is_split_without_loss(spark):
     documents = envelope(rows, max_elements=100)
     sizes = {(r.run, r.part): r.n_elements for r in documents.collect()}
     assert sum(n for (run, _), n in sizes.items() if run == 0) == 1000
-    assert len(sizes) == 11 and max(sizes.values()) < 200 and sizes[(9, 0)] == 5
+    assert len(sizes) == 11 and max(sizes.values()) < 200 and [n for (run, _), n in sizes.items() if run == 9] == [5]
+    # every document looks alike, however many there are
+    bodies = [json.loads(r.document) for r in documents.collect()]
+    assert {tuple(b) for b in bodies} == {("delivery", "dt", "part", "parts", "results")}
+    assert {b["parts"] for b in bodies} == {1, 10} and len({b["delivery"] for b in bodies}) == 1
     files = documents.select(
         F.concat_ws("-", "run", "part").alias("path"), F.col("document").alias("content")
     )
     staged = stage_documents(files, WEATHER)
     # Every part has the time of the run's first record, so none looks like a run of its own.
     assert {r.record_ts for r in staged.collect()} == {MIDNIGHT}
+    stored = materialize(staged, "staged")
+    # Both runs have one time here: of the large one a part is missing, of the small one none.
+    assert newest_deliveries(stored.where("source_filename NOT LIKE '0-1'")).count() == 0
     kept = latest_per_key(staged, ["record_ts"], "ingestion_ts")
     flat = flatten_results(kept, ELEMENT_FIELDS, before=["record_ts"])
     assert flat.count() == 1005 and flat.where("source_filename LIKE '0-%'").select("place").distinct().count() == 1000
@@ -152,12 +161,89 @@ def test_copies_of_one_record_are_spread(spark):
 def test_written_documents(spark):
     root = scratch_path(spark, "raw")
     documents = spark.sql(
-        "SELECT timestamp_ntz'2024-07-01 10:05:00' + make_interval(0, 0, 0, 0, 0, 0, s) AS run, 0 AS part, 1 AS parts, "
-        "concat('{\"results\": [{\"dt\": ', s, '}]}') AS document FROM VALUES (0), (30) AS t(s)"
+        "SELECT timestamp_ntz'2024-07-01 10:05:00' + make_interval(0, 0, 0, 0, 0, 0, s) AS run, 0 AS part, "
+        "concat('{\"results\": [\n {\"dt\": ', s, ', \"name\": \"Łódź\"}]}') AS document "
+        "FROM VALUES (0), (30), (90000), (600) AS t(s)"
     )
     write_documents(documents, WEATHER, "run", root)
-    listed = file_inventory(spark, root)
+    write_documents(documents.where("run > timestamp_ntz'2024-07-02 00:00:00'"), WEATHER, "run", root, per_file=1)
+    listed = file_inventory(spark, f"{root}/weather")
     assert listed.columns == ["path", "length", "modificationTime"]
-    names = [r.path.split("document=")[1].split("/")[0] for r in listed.collect()]
-    assert names == ["2024-07-01T12-05_weather_data.json"] * 2  # same minute, still two files
-    assert stage_documents(read_document_files(spark, root), WEATHER).where("record_ts IS NOT NULL").count() == 2
+    assert listed.count() == 3  # a file for each day and sending
+    held = read_manifest(spark, root, WEATHER).collect()
+    assert sorted(r.name for r in held) == [
+        "2024-07-01T12-05_weather_data.json", "2024-07-01T12-05_weather_data.json",
+        "2024-07-01T12-15_weather_data.json", *["2024-07-02T13-05_weather_data.json"] * 2,
+    ]
+    for row in held:
+        with open(row.path.removeprefix("file:"), "rb") as file:
+            file.seek(row.offset)
+            body = file.read(row.length)
+        assert json.loads(body)["results"][0]["name"] == "Łódź" and hashlib.md5(body).hexdigest() == row.md5
+    assert stage_documents(read_document_files(spark, f"{root}/weather"), WEATHER).where("record_ts IS NOT NULL").count() == 5
+
+
+def test_documents_of_one_file(spark):
+    one = shapes.document(shapes.weather_element(1.0, 2.0, name="x}\n{[\""))
+    flat = json.dumps(json.loads(one))
+    bodies = {
+        "a line each": (f"{flat}\n{flat}\n", 2, 2), "spread": (f"{one}\n\n  {one}\r\n{one}", 3, 3), "array": (f"[{one},\n{one}]", 2, 2),
+        "lines in an array": (f"[\n{flat},\n{flat}\n]\n", 2, 2), "alone": (one, 1, 1), "empty": ("", 1, 0), "no document": ("[]", 1, 0),
+        "blank": (" \n", 1, 0), "comma": (f"{flat},{flat}", 1, 0), "one line": (f"{flat} {flat}", 1, 0), "numbers": ("[1, 2]", 2, 0),
+        "bad tail": (f'{flat}\n{{"a": ', 2, 1), "bad head": (f"{{x}}\n{flat}", 2, 1), "spaces": (f"{flat}{' ' * 200_000}\n{flat}", 2, 2),
+    }
+    rows = spark.createDataFrame([(k, v[0]) for k, v in bodies.items()], "path string, content string")
+    staged = materialize(stage_documents(rows, WEATHER), "staged")
+    found = staged.groupBy("source_filename").agg(F.count("*"), F.count("record_ts"), F.count_distinct("id"))
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == {k: v[1:] for k, v in bodies.items()}
+    assert all(r[1] == r[3] for r in found.collect()) and {r.city for r in curate(staged, WEATHER).collect()} == {'x}\n{["'}
+
+
+def delivered(spark, *rows):
+    """Staging rows of (delivery, part, parts, minute, value), all of one time."""
+    bodies = [
+        (f"2024-01-01 01:{minute:02d}:00", json.dumps({
+            "delivery": delivery, "dt": shapes.HOUR, "part": part, "parts": parts, "results": [shapes.weather_element(1.0, 1.0, name=value)],
+        }))
+        for delivery, part, parts, minute, value in rows
+    ]
+    return materialize(shapes.staging(spark, WEATHER, *bodies), "staged")
+
+
+def cities(staged, ties="keep"):
+    return sorted(r.city for r in curate(staged, WEATHER, ties=ties).collect())
+
+
+def test_a_delivery_counts_when_all_parts_have_landed(spark):
+    first = [("d1", 0, 2, 1, "old0"), ("d1", 1, 2, 3, "old1")]
+    assert cities(delivered(spark, first[0])) == []
+    assert cities(delivered(spark, *first)) == ["old0", "old1"]
+    half = [*first, ("d2", 0, 3, 5, "new0"), ("d2", 2, 3, 9, "new2")]
+    staged = delivered(spark, *half)
+    assert cities(staged) == ["old0", "old1"]
+    assert [(r.delivery, r.parts, r.landed) for r in incomplete_deliveries(staged).collect()] == [("d2", 3, 2)]
+    # a part that comes again counts once, as it came last; another delivery between does not matter
+    whole = [*half, ("d3", 0, 1, 6, "between"), ("d2", 1, 3, 10, "new1"), ("d2", 0, 3, 11, "newer0")]
+    assert cities(delivered(spark, *whole)) == ["new1", "new2", "newer0"]
+
+
+def test_deliveries_completed_together(spark):
+    rows = [("d1", 0, 2, 1, "a0"), ("d1", 1, 2, 5, "a1"), ("d2", 0, 1, 5, "b"), (None, 7, 9, 5, "c")]
+    staged = delivered(spark, *rows)
+    assert cities(staged) == ["a0", "a1", "b", "c"]
+    assert cities(staged, "one") == ["c"]  # its file name comes last
+    with pytest.raises(ValueError, match="ties"):
+        curate(staged, WEATHER, ties="some")
+
+
+def test_rejected_values_are_listed(spark):
+    bad = shapes.weather_element(1.0, 1.0, temp="x", deg=1e12) | {"visibility": {"a": None}, "name": None}
+    good = shapes.weather_element(2.0, 2.0, temp="4.5")
+    staged = shapes.staging(spark, WEATHER, ("2024-01-01 01:00:00", shapes.document(bad, good)))
+    rows = {r.lat: r for r in curate(staged, WEATHER, strict=False, rejected="rejected").collect()}
+    assert rows[2.0].rejected is None and rows[2.0].temp == 4.5
+    assert [tuple(r) for r in rows[1.0].rejected] == [
+        ("temp", "$.main.temp", '"x"'), ("visibility", "$.visibility", '{"a":null}'), ("wind_deg", "$.wind.deg", "1000000000000"),
+    ]
+    with pytest.raises(ValueError, match="strict"):
+        curate(staged, WEATHER, rejected="rejected")

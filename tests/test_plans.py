@@ -11,7 +11,8 @@ from checks import tables as t
 from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-STREAMING = {"stream_ingest", "stream_quarantine", "refresh_incremental", "refresh_star", "refresh_dims", "curated_tables", "sql_over_views", "refresh_full"}
+STREAMING = {"stream_ingest", "stream_quarantine", "refresh_incremental", "refresh_star", "refresh_dims", "curated_tables", "sql_over_views", "refresh_full",
+             "register_change", "rejected_values", "split_runs", "many_documents_per_file"}
 
 
 def plan_of(df):

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators import serve
 from aqlake.plans.conditions import curate
-from aqlake.plans.refresh import drop_outdated, read_current, read_date_dim, read_day_agg, read_location_dim, refresh
+from aqlake.plans.refresh import (
+    drop_outdated, read_current, read_date_dim, read_day_agg, read_location_dim, read_rejected, refresh,
+)
 from aqlake.plans.views import create_views
 from aqlake.sources import schemas
 from aqlake.streaming.catch_up import Lake, catch_up
@@ -215,14 +217,93 @@ def test_thousands_of_days_with_a_version_each(spark, tmp_path, monkeypatch):
     assert read_current(spark, str(tmp_path), "locations").count() == 1
 
 
-def test_a_second_document_in_a_file_is_not_lost_silently(site):
-    one = shapes.document(shapes.pollution_element(*PLACE, dt=shapes.HOUR))
-    site.land(POLLUTION, one, f"{one}\n{one}")
+def test_all_documents_of_a_file_are_taken(site):
+    one, two = (shapes.document(shapes.pollution_element(*PLACE, dt=shapes.HOUR + h)) for h in (0, 3600))
+    site.land(POLLUTION, one, f"{one}\n{two}", f"[{one}, {two}]", f"{one}\n{{")
     site.ingest(POLLUTION)
-    assert site.staging(POLLUTION).count() == 1
+    rows = site.staging(POLLUTION).collect()
+    assert len(rows) == 6 and len({r.id for r in rows}) == 6
     assert read_quarantine(site.spark, site.lake.staging(POLLUTION)).count() == 1
 
 
+def test_a_register_change_refreshes_the_days_of_its_places(site):
+    site.places = [("A", *PLACE, 10), ("B", 5.0, 5.0, 20)]
+    site.land_both(shapes.HOUR, shapes.HOUR + DAY)
+    site.land_both(shapes.HOUR + DAY + 3600, place=(5.0, 5.0))
+    site.land_both(shapes.HOUR + 2 * DAY, place=(9.0, 9.0))
+    site.run()
+    documents = site.rows("curated_weather")
+    site.places = [("A", *PLACE, 10), ("B", 5.0, 5.0, 21), ("C", 7.0, 7.0, 1)]
+    site.run()  # no new documents
+    check_against_full(site)
+    assert site.rows("curated_weather") == documents
+    stored = {
+        t: sorted(p.parent.name[8:] + p.name[-2:] for p in (site.folder / "lake/derived" / t).glob("*/record_date=*"))
+        for t in ("wide", "curated_weather")
+    }
+    # only the second day's tables were written again, and none of its documents read
+    assert stored == {"wide": ["101", "102", "103", "202"], "curated_weather": ["101", "102", "103"]}
+    site.run()
+    assert len(list((site.folder / "lake/derived/versions").glob("version=*"))) == 2
+    # the register and documents of another day change together
+    site.places = [("A", *PLACE, 11), ("B", 5.0, 5.0, 21), ("D", 9.0, 9.0, 2)]
+    site.land_both(shapes.HOUR + DAY, aqi=5)
+    site.run()
+    check_against_full(site)
+    locations = read_location_dim(site.spark, site.derived).collect()
+    assert sorted((r.city, r.population) for r in locations) == [("A", 11), ("B", 21), ("D", 2)]
+    # outdated days go, but not the documents that a day still rests on
+    assert drop_outdated(site.spark, site.derived, keep=0) > 0
+    site.places = [("A", *PLACE, 12)]
+    site.run()
+    check_against_full(site)
+
+
+def test_another_match_derives_all_days_again(site):
+    site.places = [("A", 52.2297, 21.0117, 10)]
+    site.land_both(shapes.HOUR, place=(52.2299, 21.0119))
+    site.run()
+    assert [r.city for r in site.read("wide").collect()] == ["A"]
+    staged = (site.lake.staging(POLLUTION), site.lake.staging(WEATHER))
+    refresh(site.spark, *staged, site.register(), site.derived, [], "exact")
+    assert [r.city for r in site.read("wide").collect()] == [None]
+
+
+def test_a_bad_value_does_not_stop_catch_up(site):
+    site.land_both(shapes.HOUR)
+    site.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE, dt=shapes.HOUR + DAY, aqi="bad", no="none")))
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE, dt=shapes.HOUR + DAY)))
+    site.run()
+    assert sorted(r.aqi or 0 for r in site.read("wide").collect()) == [0, 2]
+    rejected = read_rejected(site.spark, site.derived).collect()
+    assert sorted((r.feed, r.column, r.path, r.value) for r in rejected) == [
+        ("pollution", "aqi", "$.list[0].main.aqi", '"bad"'), ("pollution", "no", "$.list[0].components.no", '"none"'),
+    ]
+    assert {r.source_filename.rsplit("/", 1)[1] for r in rejected} == {"002.json"} and rejected[0].record_date.day == 2
+    site.land_both(shapes.HOUR + DAY, aqi=4)  # corrected
+    site.run()
+    assert read_rejected(site.spark, site.derived).count() == 0
+    check_against_full(site)
+
+
+def test_a_feed_without_a_folder(site):
+    (site.folder / "landing" / "weather").rmdir()
+    site.land(POLLUTION, shapes.document(shapes.pollution_element(*PLACE)))
+    site.run()
+    assert site.rows("wide") == [] and len(site.rows("curated_pollution")) == 1
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
+    site.run()
+    assert len(site.rows("wide")) == 1
+
+
+def test_one_failing_feed_does_not_keep_the_other_out(site):
+    site.land_both(shapes.HOUR)
+    shapes.write_file(site.folder / "landing" / "pollution", "x.json.gz", b"no gzip")
+    with pytest.raises(StreamingQueryException):
+        site.run()
+    assert site.staging(WEATHER).count() == 1
+
+
 def test_a_file_older_than_the_others_is_taken(site):
     site.land_both(shapes.HOUR)
     site.run()
@@ -276,7 +357,8 @@ def test_sql_views(site):
     for name, schema in expected.items():
         assert site.spark.table(name).schema.names == schema.names
         assert site.spark.table(name).count() > 0
-    assert set(names) == {*expected, "staging_pollution", "staging_weather"}
+    assert set(names) == {*expected, "staging_pollution", "staging_weather", "rejected_values"}
+    assert site.spark.table("rejected_values").count() == 0
     labels = site.spark.sql("SELECT DISTINCT prominent_index(no, no2, o3, so2, pm2_5, pm10, nh3) FROM conditions_fact")
     assert [r[0] for r in labels.collect()] == ["NO"]
 

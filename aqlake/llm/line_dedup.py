@@ -89,7 +89,7 @@ class LineRuns:
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fanout: int = 4
+    docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fanout: int = 4, also: tuple[str, ...] = ()
 ) -> DataFrame:
     """Drop lines that recur in many documents, but for the largest doc_id that holds them.
 
@@ -100,31 +100,33 @@ def dedup_lines(
     ``docs``; ``text`` is the input and ``kept`` the remaining lines joined by newlines.
 
     Rows with one doc_id are one document, and each gives its row. A null doc_id is one
-    document, smaller than any other. Columns other than doc_id and text are not read.
+    document, smaller than any other. Of the other columns only those named in ``also``
+    are read, and come out as they are (none may be called like a column returned).
     Only hashes of lines are shuffled by line; a common line's rows are counted before
     the shuffle and joined from stored tables, where Spark can split a hot key. Texts
     move once, to meet their document's list of dropped lines.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", *also)
     pairs = store(line_hashes(docs, batches, min_chars), "batch")
     runs = LineRuns(fanout)
     for number in range(batches):
         runs.add(pairs.where(F.col("batch") == number).select("h1", "h2", "doc_id"))
     common = store(runs.totals().where(F.col("n_docs") >= min_docs).select("h1", "h2", "last_doc"))
     dropped = (
-        pairs.join(common, ["h1", "h2"])
+        pairs.hint("merge").join(common, ["h1", "h2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
         .groupBy(F.col("doc_id").alias("in_doc"))
         .agg(F.collect_list("h1").alias("hashes"))
     )
     gone = F.transform(F.col("lines"), lambda x: F.array_contains("hashes", F.xxhash64(line_key(x))))
     return (
-        docs.join(store(dropped), F.col("doc_id").eqNullSafe(F.col("in_doc")), "left")
-        .select("doc_id", "text", "hashes", _lines(F.col("text")).alias("lines"))
+        docs.hint("merge").join(store(dropped), F.col("doc_id").eqNullSafe(F.col("in_doc")), "left")
+        .select("doc_id", "text", *also, "hashes", _lines(F.col("text")).alias("lines"))
         .select("*", F.when(F.col("hashes").isNotNull(), gone).alias("gone"))
         .select(
             "doc_id",
             "text",
+            *also,
             F.size("lines").cast("long").alias("n_lines"),
             F.coalesce(F.size(F.filter("gone", lambda x: x)), F.lit(0)).cast("long").alias("n_dropped"),
             F.when(F.col("gone").isNull(), F.coalesce("text", F.lit("")))

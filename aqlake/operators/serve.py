@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from aqlake.feeds import POLLUTANTS
 
+MOST_KEYS = 1000  # places of a city that are looked up before the fact is read
+
 
 def run_sql(spark: SparkSession, query: str, args: dict[str, Any] | None = None, **tables: DataFrame) -> DataFrame:
     """SQL text over named DataFrames (``{name}``) with bound parameters (``:name``).
@@ -78,8 +80,14 @@ def latest_snapshot(fact: DataFrame, locations: DataFrame, dates: DataFrame) ->
 
 
 def city_points(fact: DataFrame, locations: DataFrame, city: str, distinct: bool = False) -> DataFrame:
-    """Coordinates of one city: a row per measurement, or per place if ``distinct``."""
-    points = fact.join(
-        locations.where(F.col("city") == F.lit(city)), F.col("location_fk") == F.col("location_pk"), "inner"
-    ).select("lat", "lon")
+    """Coordinates of one city: a row per measurement, or per place if ``distinct``.
+
+    The city's places are looked up first, so that their keys reach the fact's scan: stored
+    sorted by place, it skips the row groups that hold none of them. A city of more than
+    ``MOST_KEYS`` places is joined without.
+    """
+    places = locations.where(F.col("city") == F.lit(city)).select("location_pk", "lat", "lon")
+    keys = [row.location_pk for row in places.select("location_pk").distinct().limit(MOST_KEYS + 1).collect()]
+    rows = fact.where(F.col("location_fk").isin(keys)) if len(keys) <= MOST_KEYS else fact
+    points = rows.join(places, F.col("location_fk") == F.col("location_pk"), "inner").select("lat", "lon")
     return points.distinct() if distinct else points

@@ -179,8 +179,8 @@ def _changed_places(old: DataFrame | None, new: DataFrame) -> DataFrame | None:
         return new
     counted = [df.groupBy(*_PLACES.names).agg(F.count(F.lit(1)).alias("n")) for df in (old, new)]
     signed = counted[0].unionAll(counted[1].withColumn("n", -F.col("n")))
-    changed = signed.groupBy(*_PLACES.names).agg(F.sum("n").alias("n")).where("n <> 0").drop("n")
-    return None if changed.isEmpty() else materialize(changed, "changed-places")
+    changed = materialize(signed.groupBy(*_PLACES.names).agg(F.sum("n").alias("n")).where("n <> 0").drop("n"), "changed-places")
+    return None if changed.isEmpty() else changed
 
 
 def days_of_places(spark: SparkSession, root: str, changed: DataFrame, coord_match: str) -> list[dt.date]:
@@ -217,8 +217,8 @@ def refresh(
     ``read_rejected`` lists it. One refresh at a time.
     """
     staging = {
-        POLLUTION.name: read_staging(spark, pollution_path),
-        WEATHER.name: read_staging(spark, weather_path),
+        POLLUTION.name: read_staging(spark, pollution_path, days),
+        WEATHER.name: read_staging(spark, weather_path, days),
     }
     everything = days is None
     register = materialize(_places_of(register, coord_match), "register")  # one state of it, whatever happens meanwhile
@@ -228,8 +228,6 @@ def refresh(
         known = _versions(spark, root).select("record_date")
         replaced = reduce(DataFrame.unionAll, [known, *[s.select("record_date") for s in staging.values()]])
         days = list_days(replaced)
-    else:
-        staging = {name: s.where(F.col("record_date").isin(days)) for name, s in staging.items()}
     renamed: list[dt.date] = []
     if pinned is not None and changed is not None and not everything:
         renamed = sorted(set(days_of_places(spark, root, changed, coord_match)) - set(days))
@@ -261,7 +259,9 @@ def refresh(
         curated.append(kept)
     if days or renamed:
         wide = store(with_record_date(conditions_wide(*curated, register, coord_match)), "wide")
-        fact = store(conditions_fact(wide, extra=("record_date",)), "conditions_fact", gather=False)
+        # By place within a day: a place's rows stand together, and row groups without it are skipped.
+        placed = conditions_fact(wide, extra=("record_date",)).sortWithinPartitions("record_date", "location_fk", "date_fk")
+        fact = store(placed, "conditions_fact", gather=False)
         dates = store(with_record_date(date_dim(wide), "measurement_time"), "dates")
         locations = store(location_dim(wide, (*PLACE, "record_date")), "locations")
         averages = day_agg(fact, locations, dates)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -13,17 +13,23 @@ from aqlake.functions.timeparts import epoch_to_ntz
 
 _BYTE_ORDER_MARK = "\ufeff"
 
+# Why a document or file is in quarantine.
+EMPTY_FILE, UNREADABLE_FILE, NO_DOCUMENT, NO_TIME = "empty file", "unreadable file", "no document", "no time"
 
-def as_documents(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+
+def file_name() -> Column:
+    """The path of a row's file. The source gives it URL-encoded, with "+" standing for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def as_documents(reader: DataFrameReader | DataStreamReader, path: str | list[str]) -> DataFrame:
     """Every file below ``path`` as a row of ``path`` and ``content``, batch or stream.
 
     A file is read whole; compressed ones are unpacked by their extension. Empty
     files give no row.
     """
     files = reader.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(path)
-    # The file source gives the path URL-encoded, with "+" standing for itself.
-    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return files.select(name.alias("path"), F.col("value").alias("content"))
+    return files.select(file_name().alias("path"), F.col("value").alias("content"))
 
 
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
@@ -100,5 +106,6 @@ def stage_documents(files: DataFrame, feed: Feed) -> DataFrame:
         F.when(fits, F.col("_delivery")).alias("delivery"),
         F.when(fits, F.col("_part")).otherwise(0).alias("part"),
         F.when(fits, F.col("_parts")).otherwise(1).alias("parts"),
+        F.when(json_data.isNull(), NO_DOCUMENT).when(F.col("record_ts").isNull(), NO_TIME).alias("reason"),
         F.to_date("record_ts").alias("record_date"),
     )

@@ -15,8 +15,9 @@ _CORRUPT = "_corrupt_record"
 def read_register(spark: SparkSession, path: str, schema: T.StructType = REGISTER) -> tuple[DataFrame, DataFrame]:
     """Good rows, and rows that do not fit the schema (kept with their raw text).
 
-    Columns are taken by position. A byte order mark before the header and
-    quoted separators and doubled quotes are understood. One bad row does not stop the load.
+    Columns are taken by position. A byte order mark before the header, and separators,
+    line breaks and doubled quotes within quotes are understood, so a file is read by one
+    task: deliver a large register in several files. One bad row does not stop the load.
 
     The parsed rows are kept in a staging table: read straight from the file, a
     row is only judged by the columns a query happens to select.
@@ -27,6 +28,7 @@ def read_register(spark: SparkSession, path: str, schema: T.StructType = REGISTE
         .option("quote", '"')
         .option("escape", '"')  # a quote within quotes is doubled
         .option("header", True)
+        .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
@@ -41,6 +43,7 @@ def coordinate_pairs(register: DataFrame) -> DataFrame:
 
 
 def peek_lines(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """First field of every line of a raw file, header included, by position."""
+    """First field of every record of a raw file, header included, by position."""
     first = T.StructType([T.StructField("first_field", T.StringType())])
-    return spark.read.schema(first).option("header", False).option("sep", sep).csv(path)
+    reader = spark.read.schema(first).option("header", False).option("sep", sep)
+    return reader.option("escape", '"').option("multiLine", True).csv(path)

@@ -26,7 +26,8 @@ REGISTER = T.StructType([
 REGISTER_KEYS = ("city", "lat", "lon")
 
 # One row per landed document; ``record_date`` is the storage partition. ``delivery``,
-# ``part`` and ``parts`` say which documents belong together (NULL, 0, 1: a document by itself).
+# ``part`` and ``parts`` say which documents belong together (NULL, 0, 1: a document by itself);
+# ``reason`` why one without a ``record_ts`` is not loaded.
 STAGING = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("record_ts", T.TimestampNTZType()),
@@ -37,6 +38,7 @@ STAGING = T.StructType([
     T.StructField("delivery", T.StringType()),
     T.StructField("part", T.IntegerType()),
     T.StructField("parts", T.IntegerType()),
+    T.StructField("reason", T.StringType()),
     T.StructField("record_date", T.DateType()),
 ])
 # A value that could not be read as its column's type, as JSON text.

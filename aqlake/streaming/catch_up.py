@@ -54,6 +54,7 @@ def catch_up(
             queries.append(ingest(spark, source, feed, target, lake.checkpoint(feed.name), gather_days=gather_days))
         else:
             make_folder(spark, target)
+            make_folder(spark, f"{target}-days")
     failed = []
     for query in queries:
         try:
@@ -63,6 +64,8 @@ def catch_up(
     if failed:
         raise failed[0]
     staged = (lake.staging(POLLUTION), lake.staging(WEATHER))
-    refresh_landed(spark, *staged, register, lake.derived, lake.checkpoint("refresh"), coord_match).awaitTermination()
-    # Without new documents no micro-batch has looked at the register.
-    refresh(spark, *staged, register(), lake.derived, [], coord_match)
+    refreshed = refresh_landed(spark, *staged, register, lake.derived, lake.checkpoint("refresh"), coord_match)
+    refreshed.awaitTermination()
+    if not any(progress["numInputRows"] for progress in refreshed.recentProgress):
+        # Without new documents no micro-batch has looked at the register.
+        refresh(spark, *staged, register(), lake.derived, [], coord_match)

@@ -132,6 +132,16 @@ ORACLE = {
         max(value) FILTER (event_type = 'error') AS e FROM events GROUP BY 1, 2)""",
     "prominent_index": f"{_W} SELECT CAST(record_ts AS TIMESTAMP) AS record_ts, lat, lon, "
     "prominent AS prominent_pollutant FROM l",
+    "prominent_labels": """WITH v AS (SELECT l_orderkey % 7 = 0 AS none, l_returnflag AS f,
+        CASE WHEN l_linestatus <> 'O' THEN l_linenumber % 5 END AS a, l_orderkey % 5 AS b, l_partkey % 5 AS c, l_suppkey % 5 AS d,
+        CASE WHEN l_returnflag <> 'A' THEN l_quantity % 6 END AS e, CASE WHEN l_returnflag <> 'N' THEN floor(l_discount * 70) END AS g,
+        floor(l_tax * 80) AS h FROM lineitem),
+      r AS (SELECT CASE WHEN NOT none THEN a END::DOUBLE AS no, CASE WHEN NOT none THEN b END::DOUBLE AS no2,
+        CASE WHEN NOT none THEN c END::DOUBLE AS o3, CASE WHEN NOT none THEN d END::DOUBLE AS so2, CASE WHEN NOT none THEN e END::DOUBLE AS pm2_5,
+        CASE WHEN NOT none THEN g END::DOUBLE AS pm10, CASE WHEN NOT none THEN h END::DOUBLE AS nh3 FROM v)
+      SELECT *, CASE greatest(no, no2, o3, so2, pm2_5, pm10, nh3) WHEN no THEN 'NO' WHEN no2 THEN 'NO2' WHEN o3 THEN 'O3'
+        WHEN so2 THEN 'SO2' WHEN pm2_5 THEN 'PM2_5' WHEN pm10 THEN 'PM10' WHEN nh3 THEN 'NH3' END AS label, count(*) AS n
+      FROM r GROUP BY ALL""",
     "calendar": f"""SELECT 'order' AS kind, o_orderkey AS id, {_CALENDAR.format("o_orderdate")} FROM orders
       UNION ALL SELECT 'event', event_id, {_CALENDAR.format("ts")} FROM events""",
     "prefix_join": _prefix(5),
@@ -150,6 +160,8 @@ ORACLE = {
     "location_dim": f"{_W} SELECT DISTINCT city, population, lat, lon FROM w",
     "star_join": f"{_W} {_STAR}",
     "day_agg": f"{_W} {_AGG}",
+    "day_agg_of_many": _W.replace("LEFT JOIN customer c", """LEFT JOIN (SELECT c_custkey, c_acctbal, c_nationkey,
+        concat('nation ', c_nationkey) AS c_name FROM customer) c""") + f" {_AGG}",
     "city_list": f"{_W} SELECT DISTINCT city FROM w ORDER BY city DESC",
     "date_list": f"""{_W} SELECT DISTINCT CAST(record_ts AS DATE) AS measurement_date FROM w
       WHERE city = '{CITY}' ORDER BY 1 DESC""",
@@ -171,7 +183,7 @@ ORACLE = {
         CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS lat,
         CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS DOUBLE) END AS lon,
         CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS population,
-        CASE WHEN c_acctbal >= 0 THEN concat(c_mktsegment, ';x') END AS country,
+        CASE WHEN c_acctbal >= 0 THEN concat(c_mktsegment, ';', chr(10), '"x"') END AS country,
         CASE WHEN c_acctbal >= 0 THEN 'good' ELSE 'bad' END AS status FROM customer""",
     "coordinate_pairs": "SELECT c_acctbal AS lat, CAST(c_custkey AS DOUBLE) AS lon FROM customer WHERE c_acctbal >= 0",
     "peek_lines": "SELECT 'Name' AS first_field UNION ALL SELECT c_name FROM customer",
@@ -185,6 +197,16 @@ ORACLE = {
     "stream_ingest": f"""SELECT event_id, CAST(user_id AS INTEGER) AS user_id, event_type, value, {_K} AS k
       FROM {_CORRECTED}""",
     "stream_quarantine": "SELECT DISTINCT conv_id FROM conversations",
+    # The text sink ends every file with a newline.
+    "landed_files": """WITH b AS (SELECT *, concat('{"results": [{"dt": ', s_suppkey * 3600, ', "name": "', s_name, '"}]}') AS body
+        FROM supplier),
+      f AS (SELECT s_suppkey, s_acctbal, CASE s_suppkey % 4 WHEN 1 THEN concat(body, chr(10), body) WHEN 2 THEN s_name
+        WHEN 3 THEN '{"results": []}' ELSE body END || chr(10) AS content FROM b)
+      SELECT run, CAST(s_suppkey AS INTEGER) AS file, md5(content) AS stg_file_md5,
+        CASE s_suppkey % 4 WHEN 2 THEN 'no document' WHEN 3 THEN 'no time' END AS reason,
+        CASE s_suppkey % 4 WHEN 1 THEN 2 ELSE 1 END AS n_documents, CASE s_suppkey % 4 WHEN 1 THEN 2 ELSE 1 END AS n_ids,
+        CASE WHEN s_suppkey % 4 < 2 THEN CAST(to_timestamp(s_suppkey * 3600) AT TIME ZONE 'UTC' AS TIMESTAMP) END AS record_ts
+      FROM f, (VALUES (0), (1)) AS t(run) WHERE run = 0 OR s_acctbal < 0""",
     "refresh_incremental": f"{_W2} {_AGG}",
     "refresh_star": f"{_W2} {_STAR}",
     "refresh_dims": f"""{_W2} SELECT DISTINCT 'place' AS kind, city AS member FROM w

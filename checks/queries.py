@@ -15,7 +15,7 @@ from aqlake.operators.flatten import flatten_results
 from aqlake.operators.joins import attach_register, join_feeds, unmatched_counts
 from aqlake.operators.quality import split_not_null
 from aqlake.operators.upsert import upsert as upsert_rows
-from aqlake.plans.conditions import conditions_wide, curate
+from aqlake.plans.conditions import build_star, conditions_wide, curate
 from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim, read_rejected
 from aqlake.plans.refresh import refresh as refresh_tables
 from aqlake.plans.register_load import load_register
@@ -124,6 +124,26 @@ def prominent_index(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def prominent_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """All seven labels, with ties, missing values and rows without any value."""
+    lines = t.table(spark, sf, "lineitem")
+    number = {
+        "no": F.col("l_linenumber") % 5, "no2": F.col("l_orderkey") % 5, "o3": F.col("l_partkey") % 5, "so2": F.col("l_suppkey") % 5,
+        "pm2_5": F.col("l_quantity") % 6, "pm10": F.floor(F.col("l_discount") * 70), "nh3": F.floor(F.col("l_tax") * 80),
+    }
+    none = F.col("l_orderkey") % 7 == 0
+    missing = {"pm2_5": F.col("l_returnflag") == "A", "pm10": F.col("l_returnflag") == "N", "no": F.col("l_linestatus") == "O"}
+    rows = lines.select(
+        *[F.when(~(none | missing.get(c, F.lit(False))), v.cast("double")).alias(c) for c, v in number.items()]
+    )
+    register_functions(spark)
+    return serve.run_sql(
+        spark,
+        "SELECT *, prominent_index(no, no2, o3, so2, pm2_5, pm10, nh3) AS label, count(*) AS n FROM {rows} GROUP BY ALL",
+        rows=rows,
+    )
+
+
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
     orders = t.table(spark, sf, "orders").select(
         F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), *calendar_parts("o_orderdate")
@@ -221,6 +241,14 @@ def day_agg(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(averages)
 
 
+def day_agg_of_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages over many places: all customers of a nation count as one city."""
+    placed = t.placed_readings(spark, sf)
+    nations = t.places(spark, sf).withColumn("city", F.concat(F.lit("nation "), F.col("population").cast("string")))
+    wide = materialize(conditions_wide(t.pollution_rows(placed), t.weather_rows(placed), nations), "wide")
+    return _rounded(star.day_agg(*build_star(wide)))
+
+
 def _rounded(averages: DataFrame) -> DataFrame:
     return averages.select(
         "city", "measurement_date", "measurement_time",
@@ -280,7 +308,7 @@ def upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _register_csv(spark: SparkSession, sf: str, population, lat) -> str:
-    """Customers as a register file: byte order mark, semicolons, header.
+    """Customers as a register file: byte order mark, semicolons, header, line breaks and quotes within quotes.
 
     An unreadable population marks customers in debt as bad rows.
     """
@@ -293,8 +321,8 @@ def _register_csv(spark: SparkSession, sf: str, population, lat) -> str:
         F.lit("PL").alias("Country Code"),
         population.alias("Population"),
         F.lit("Europe/Warsaw").alias("Timezone"),
-        F.concat(F.col("c_mktsegment"), F.lit(";x")).alias("Country"),
-    ).write.option("sep", ";").option("header", True).csv(path)
+        F.concat(F.col("c_mktsegment"), F.lit(';\n"x"')).alias("Country"),
+    ).write.option("sep", ";").option("escape", '"').option("header", True).csv(path)
     return path
 
 
@@ -385,6 +413,32 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return read_quarantine(spark, staging).select(conv.alias("conv_id")).distinct()
 
 
+def landed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every landed file is accounted for, before anything is deduplicated: two runs over suppliers' files.
+
+    A supplier's file holds a document, two of them, prose, or a document without a time;
+    the second run finds those of suppliers in debt again, under another name.
+    """
+    suppliers = t.table(spark, sf, "supplier")
+    name, key = F.col("s_name"), F.col("s_suppkey")
+    body = F.concat(F.lit('{"results": [{"dt": '), (key * 3600).cast("string"), F.lit(', "name": "'), name, F.lit('"}]}'))
+    kind = F.pmod(key, F.lit(4))
+    content = (
+        F.when(kind == 1, F.concat(body, F.lit("\n"), body)).when(kind == 2, F.col("s_name"))
+        .when(kind == 3, F.lit('{"results": []}')).otherwise(body)
+    )
+    root, staging, checkpoint = (scratch_path(spark, n) for n in ("raw", "staging", "checkpoint"))
+    for run, rows in enumerate((suppliers, suppliers.where("s_acctbal < 0"))):
+        files = rows.select(F.lit(run).alias("run"), F.col("s_suppkey").alias("file"), content.alias("value"))
+        files.repartition(spark.sparkContext.defaultParallelism).write.mode("append").partitionBy("run", "file").text(root)
+        ingest(spark, root, WEATHER, staging, checkpoint).awaitTermination()
+    landed = read_staging(spark, staging).unionAll(read_quarantine(spark, staging))
+    place = [F.regexp_extract("source_filename", f"{c}=([0-9]+)/", 1).cast("int").alias(c) for c in ("run", "file")]
+    return landed.groupBy(*place, "stg_file_md5", "reason").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_distinct("id").alias("n_ids"), F.max("record_ts").alias("record_ts")
+    )
+
+
 def _refreshed(spark: SparkSession, sf: str) -> str:
     """The derived tables, kept up to date as documents are delivered; built once per session."""
     return Lake(t.store_once(spark, sf, "lake", lambda root: _deliver_and_refresh(spark, sf, Lake(root)))).derived
@@ -551,6 +605,7 @@ QUERIES = {
     "quarantine": quarantine,
     "argmax_label": argmax_label_,
     "prominent_index": prominent_index,
+    "prominent_labels": prominent_labels,
     "calendar": calendar,
     "prefix_join": prefix_join,
     "prefix_join_fanout": prefix_join_fanout,
@@ -563,6 +618,7 @@ QUERIES = {
     "location_dim": location_dim,
     "star_join": star_join,
     "day_agg": day_agg,
+    "day_agg_of_many": day_agg_of_many,
     "city_list": city_list,
     "date_list": date_list,
     "series_all": series_all,
@@ -579,6 +635,7 @@ QUERIES = {
     "file_inventory": file_inventory,
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
+    "landed_files": landed_files,
     "refresh_incremental": refresh_incremental,
     "refresh_star": refresh_star,
     "refresh_dims": refresh_dims,

@@ -12,7 +12,7 @@ from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 STREAMING = {"stream_ingest", "stream_quarantine", "refresh_incremental", "refresh_star", "refresh_dims", "curated_tables", "sql_over_views", "refresh_full",
-             "register_change", "rejected_values", "split_runs", "many_documents_per_file"}
+             "register_change", "rejected_values", "split_runs", "many_documents_per_file", "landed_files"}
 
 
 def plan_of(df):

@@ -12,8 +12,9 @@ from tests import shapes
 BOM = "﻿"
 HEADER = f"{BOM}Name;ASCII Name;Latitude;Longitude;Country Code;Population;Timezone;Country\n"
 LINES = (
-    "Łódź;Lodz;51.77058;19.47395;PL;768755;Europe/Warsaw;Poland\n"
+    "Łódka;Lodka;51.5;19.5;PL;768;Europe/Warsaw;Poland\n"
     '"A;B";AB;50.1;20.5;PL;100;Europe/Warsaw;Poland\n'
+    '"Two\nlines ""quoted""";T;50.2;20.5;PL;7;Europe/Warsaw;Poland\n'
     "Bad;Bad;fifty;20.5;PL;100;Europe/Warsaw;Poland\n"
     "Short;Short;50.1\n"
     "Long;Long;50.1;20.5;PL;100;Europe/Warsaw;Poland;more\n"
@@ -31,15 +32,17 @@ def csv(tmp_path, request):
 def test_good_and_bad_rows(spark, csv):
     good, bad = read_register(spark, csv)
     assert good.schema.names == REGISTER.names
-    assert {(r.city, r.lat, r.population) for r in good.collect()} == {("Łódź", 51.77058, 768755), ("A;B", 50.1, 100)}
-    assert good.count() == 2 and bad.count() == 3  # counting selects no column at all
+    assert {(r.city, r.lat, r.population) for r in good.collect()} == {
+        ("Łódka", 51.5, 768), ("A;B", 50.1, 100), ('Two\nlines "quoted"', 50.2, 7),
+    }
+    assert good.count() == 3 and bad.count() == 3  # counting selects no column at all
     assert {r._corrupt_record.split(";")[0] for r in bad.select("_corrupt_record").collect()} == {"Bad", "Short", "Long"}
-    assert sorted(map(tuple, coordinate_pairs(good).collect())) == [(50.1, 20.5), (51.77058, 19.47395)]
+    assert sorted(map(tuple, coordinate_pairs(good).collect())) == [(50.1, 20.5), (50.2, 20.5), (51.5, 19.5)]
 
 
 def test_peek_includes_header(spark, csv):
     lines = [r.first_field for r in peek_lines(spark, csv, sep=";").collect()]
-    assert [line.lstrip(BOM) for line in lines] == ["Name", "Łódź", "A;B", "Bad", "Short", "Long"]
+    assert [line.lstrip(BOM) for line in lines] == ["Name", "Łódka", "A;B", 'Two\nlines "quoted"', "Bad", "Short", "Long"]
 
 
 def test_upsert(spark):
@@ -80,7 +83,7 @@ def test_load_register_twice(spark, csv):
     assert load_register(spark, csv, None, first) == "register load completed, 3 rows skipped"
     load_register(spark, csv, spark.read.parquet(first), second)
     once, twice = (sorted(map(repr, spark.read.parquet(p).collect())) for p in (first, second))
-    assert once == twice and len(once) == 2
+    assert once == twice and len(once) == 3
 
 
 def test_load_register_refuses_ambiguous_file(spark, tmp_path):

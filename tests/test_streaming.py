@@ -1,6 +1,7 @@
 import bz2
 import datetime as dt
 import gzip
+import hashlib
 import itertools
 import os
 import time
@@ -98,10 +99,45 @@ def test_small_batches_and_archive(site):
 
 
 def test_unloadable_documents_are_quarantined(site):
-    site.land(WEATHER, '{"results": []}', "no json", b"\xff\xfe\x00{", shapes.document(shapes.weather_element(*PLACE)))
+    good = shapes.document(shapes.weather_element(*PLACE))
+    site.land(WEATHER, '{"results": []}', "no json", b"\xff\xfe\x00{", good, b"", " \n", f"{good}\n{{")
+    shapes.write_file(site.folder / "landing" / "weather", "x [1]*{a}?.json.gz", b"no gzip")
     site.ingest(WEATHER)
-    assert site.staging(WEATHER).count() == 1
-    assert read_quarantine(site.spark, site.lake.staging(WEATHER)).count() == 3
+    staged, bad = site.staging(WEATHER), read_quarantine(site.spark, site.lake.staging(WEATHER))
+    assert sorted((r.source_filename.rsplit("/", 1)[1], r.reason) for r in bad.collect()) == [
+        ("000.json", "no time"), ("001.json", "no document"), ("002.json", "no document"), ("004.json", "empty file"),
+        ("005.json", "no document"), ("006.json", "no document"), ("x [1]*{a}?.json.gz", "unreadable file"),
+    ]
+    assert staged.count() == 2 and staged.where("reason IS NOT NULL").count() == 0
+    assert staged.unionAll(bad).select("id").distinct().count() == 9
+    # every file is accounted for, also by the next run
+    site.land(WEATHER, good, b"")
+    site.ingest(WEATHER)
+    landed = site.staging(WEATHER).unionAll(read_quarantine(site.spark, site.lake.staging(WEATHER)))
+    assert landed.select("source_filename").distinct().count() == 10 and landed.count() == 11
+    md5 = {r.source_filename[-8:]: r.stg_file_md5 for r in site.staging(WEATHER).collect()}
+    assert md5["003.json"] == md5["007.json"] == hashlib.md5(good.encode()).hexdigest()
+
+
+def test_a_batch_that_runs_again_doubles_nothing(site):
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)), b"", "no json")
+    site.ingest(WEATHER)
+    ids = sorted(r.id for r in site.staging(WEATHER).collect())
+    commits = site.folder / "lake" / "checkpoints" / "weather" / "commits"
+    for commit in commits.iterdir():  # as if the run had died before it was done
+        commit.unlink()
+    assert site.ingest(WEATHER) == 2  # no scan shows the empty file
+    assert sorted(r.id for r in site.staging(WEATHER).collect()) == ids
+    assert read_quarantine(site.spark, site.lake.staging(WEATHER)).count() == 2
+
+
+def test_another_checkpoint_keeps_what_was_staged(site):
+    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
+    site.ingest(WEATHER)
+    query = ingest(site.spark, str(site.folder / "landing" / "weather"), WEATHER, site.lake.staging(WEATHER), str(site.folder / "other"))
+    query.awaitTermination()
+    assert site.staging(WEATHER).count() == 2
+    assert curate(site.staging(WEATHER), WEATHER).count() == 1
 
 
 def test_compressed_files_and_byte_order_marks(site):
@@ -109,7 +145,7 @@ def test_compressed_files_and_byte_order_marks(site):
     folder = site.folder / "landing" / "weather" / "Łódź +1 %"
     for name, content in (
         ("a.json", body), ("b.json.gz", gzip.compress(body)), ("c.json.bz2", bz2.compress(body)),
-        ("d.json", b"\xef\xbb\xbf" + body), ("empty.json", b""),
+        ("d.json", b"\xef\xbb\xbf" + body),
     ):
         shapes.write_file(folder, name, content)
     site.ingest(WEATHER)
@@ -120,15 +156,6 @@ def test_compressed_files_and_byte_order_marks(site):
     }
 
 
-def test_corrupt_file_stops_or_is_skipped(site):
-    shapes.write_file(site.folder / "landing" / "weather", "x.json.gz", b"no gzip")
-    site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
-    with pytest.raises(StreamingQueryException):
-        site.ingest(WEATHER)
-    site.ingest(WEATHER, skip_corrupt=True)
-    assert site.staging(WEATHER).count() == 1
-
-
 def check_against_full(site):
     full = site.full()
     for table in ("wide", "conditions_fact", "day_agg", "dates", "locations"):
@@ -298,7 +325,8 @@ def test_a_feed_without_a_folder(site):
 
 def test_one_failing_feed_does_not_keep_the_other_out(site):
     site.land_both(shapes.HOUR)
-    shapes.write_file(site.folder / "landing" / "pollution", "x.json.gz", b"no gzip")
+    (site.folder / "lake" / "staging_pollution").mkdir(parents=True)
+    (site.folder / "lake" / "staging_pollution" / "record_date=2024-01-01").write_text("a file where a folder should be")
     with pytest.raises(StreamingQueryException):
         site.run()
     assert site.staging(WEATHER).count() == 1

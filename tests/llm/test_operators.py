@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from aqlake.llm import html_text, language, neighbours, packing, quality, simhash, url_filter
@@ -362,3 +363,39 @@ def test_empty_tables(spark):
         dedup_lines(docs),
     ):
         assert made.count() == 0
+
+
+def test_large_ids_beside_a_null_id(spark):
+    big = 2**53 + 1
+    texts = [(big, prose(1, 40)), (None, prose(2, 40)), (big + 1, prose(3, 40)), (-big, prose(4, 40))]
+    docs = documents(spark, texts).coalesce(1)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id bigint, quality int, toxic int")
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.concat(F.lit("<p>"), "text").alias("html"))
+    wanted = sorted((i for i, _ in texts), key=str)
+    for made in (
+        simhash.simhash_digest(docs), quality.quality_digest(docs, labels), language.language_digest(docs), packing.packing_digest(docs),
+        html_text.extraction_digest(pages).withColumnRenamed("page_id", "doc_id"),
+    ):
+        assert sorted((r.doc_id for r in made.collect()), key=str) == wanted
+
+
+def test_equal_rows_are_dealt_to_all_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    cut = spark.range(400).select(
+        F.lit(7).cast("bigint").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start"),
+        F.lit(500).cast("bigint").alias("length"), F.lit(1).cast("bigint").alias("ids_crc32"),
+    )
+    rows = packing.pack(cut).collect()
+    assert len({r.sequence_id >> 24 for r in rows}) == 8 and len(rows) == 400
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 400
+
+
+def test_any_text_can_be_parsed():
+    rng = np.random.default_rng(11)
+    bits = ["<![foo[", "<![CDATA[", "]]>", "<!", "<!--", "-->", "<?", "</", "<p>", "</p>", "<article", ">", "<table><tr>", "</div", "&", "&#x", "&amp;", "<![if !IE]>",
+            "<script>", "<li>", "a b", "\x00", "=\"", "'", "<br/>", "<x1><x2>", "</x2>", "日本", "\ud800"]
+    for seed in range(400):
+        page = "".join(rng.choice(bits, int(rng.integers(1, 60))))
+        assert html_text.nodes_of(html_text.parse(page))
+    nodes = html_text.nodes_of(html_text.parse("<article><p>a <![foo[bar]]> b</p></article>"))
+    assert html_text.blocks_of(nodes, set(range(len(nodes)))) == "a b"

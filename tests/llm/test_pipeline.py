@@ -24,7 +24,7 @@ def test_same_as_sql(spark, name):
 
 def test_all_are_registered():
     names = driver.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def key(line):

@@ -33,7 +33,7 @@ from aqlake.feeds import POLLUTION, WEATHER, Feed
 from aqlake.operators.joins import attach_register
 from aqlake.operators.star import PLACE, conditions_fact, date_dim, day_agg, location_dim
 from aqlake.plans.conditions import conditions_wide, curate, with_record_date
-from aqlake.session import materialize
+from aqlake.session import drop_folder, materialize
 from aqlake.sources import schemas
 from aqlake.streaming.ingest import read_staging
 
@@ -268,6 +268,8 @@ def refresh(
         store(averages.withColumnRenamed("measurement_date", "record_date"), "day_agg")
     if changed is not None:
         register.write.mode("overwrite").parquet(f"{root}/register/version={version}")
+    else:  # a refresh that died half-way may have left another one there
+        drop_folder(spark, f"{root}/register/version={version}")
     # Days by number of rows: one per calendar day. A version without any day still commits its register.
     held_by = {row.record_date: row.curated_version for row in _versions(spark, root).collect()} if renamed else {}
     stamps = [(day, version) for day in days] + [(day, held_by[day]) for day in renamed] or [(None, None)]
@@ -286,14 +288,11 @@ def drop_outdated(spark: SparkSession, root: str, keep: int = 2) -> int:
     if newest is None:
         return 0
     settled = materialize(_newest(listed.where((F.col("version") <= newest - keep) & F.col("record_date").isNotNull())), "settled")
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
     for table in _TABLES:
         stored = _stored(spark, root, table).select("version", "record_date").distinct()
         last = settled.select("record_date", F.col("curated_version" if table in CURATED else "version").alias("_last"))
         outdated = stored.join(last, "record_date").where(F.col("version") < F.col("_last"))
         for row in outdated.select("version", "record_date").toLocalIterator():
-            path = folder(f"{root}/{table}/version={row.version}/record_date={row.record_date}")
-            dropped += path.getFileSystem(conf).delete(path, True)
+            dropped += drop_folder(spark, f"{root}/{table}/version={row.version}/record_date={row.record_date}")
     return dropped

@@ -79,3 +79,9 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
 def make_folder(spark: SparkSession, path: str) -> None:
     folder, system = _file_system(spark, path)
     system.mkdirs(folder)
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds; whether there was one."""
+    folder, system = _file_system(spark, path)
+    return system.delete(folder, True)

@@ -227,10 +227,14 @@ def test_half_done_refresh_is_invisible(site):
     before = site.rows("wide")
     lost = site.folder / "lake" / "derived" / "wide" / "version=2" / "record_date=2024-01-01"
     site.read("wide").drop("record_date").write.parquet(str(lost))
+    stale = site.spark.createDataFrame([(*PLACE, "A", 99, "prefix")], "lat double, lon double, city string, population int, coord_match string")
+    stale.write.parquet(str(site.folder / "lake" / "derived" / "register" / "version=2"))
     assert site.rows("wide") == before
     site.land_both(shapes.HOUR, aqi=4)
     site.run()
     check_against_full(site)
+    site.run()  # the register that was left half-way is not taken for the one in force
+    assert len(list((site.folder / "lake" / "derived" / "versions").glob("version=*"))) == 2
 
 
 def test_thousands_of_days_with_a_version_each(spark, tmp_path, monkeypatch):

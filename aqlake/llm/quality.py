@@ -14,6 +14,7 @@ from aqlake.llm.shared import fold, hashed_sample, schema, store
 CHUNK = 1024  # bytes compressed at a time: a dictionary only shortens what it stands near to
 SAMPLE = 2048  # bytes of a training chunk
 LEVEL = 3
+SLICE = 512  # texts scored at a time
 
 
 class CompressionModel:
@@ -49,8 +50,8 @@ class CompressionModel:
         made = self.compressors()
         self.slope, self.offset = fit_logistic([self.difference(t, made) for t in texts], labels)
 
-    def scores(self, texts) -> np.ndarray:
-        made = self.compressors()
+    def scores(self, texts, made=None) -> np.ndarray:
+        made = made or self.compressors()
         return logistic([self.difference(t, made) for t in texts], self.slope, self.offset)
 
 
@@ -102,10 +103,13 @@ def score_quality(docs: DataFrame, model: CompressionModel) -> DataFrame:
         out.names.insert(0, field.name)
 
     def run(batches):
+        made = model.compressors()
         for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            # other columns stay as they come: as numbers beside a null, ids would be rounded
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(texts))], names=out.names)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                scores = model.scores((text.as_py() or "" for text in part.column("text")), made)
+                # other columns stay as they come: as numbers beside a null, ids would be rounded
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=out.names)
 
     return kept.mapInArrow(run, out)
 

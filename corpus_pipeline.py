@@ -2,11 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 result as Parquet into the shared folder and reads it again as the next stage's ``docs``.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``. Tables that a stage has
+stored on its way are deleted when the next stage is called: its result must be written by then.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from aqlake.llm.decontaminate import decontaminate
 from aqlake.llm.line_dedup import dedup_lines
 from aqlake.llm.packing import packing_digest
 from aqlake.llm.quality import fit_quality, score_quality
-from aqlake.llm.shared import fold, store
+from aqlake.llm.shared import drop_stored, fold, listing, store
 from aqlake.llm.simhash import near_duplicates
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,6 +26,18 @@ MIN_QUALITY = 0.7
 # A stage fits models and joins by document id, which SQL cannot express.
 ORACLE_SQL = None
 
+_on_the_way: list[str] = []  # tables that the stage called last has stored
+
+
+def _stage(work):
+    @wraps(work)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_stored(spark, _on_the_way)
+        with listing(_on_the_way):
+            return work(spark, docs, sf_dir)
+
+    return stage
+
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """``docs`` stored with a number ``row``, as ids may be null or repeat."""
@@ -37,6 +52,7 @@ def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(store(dropped), "row", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier scores at 0.7 or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -44,12 +60,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_quality(docs.select(*COLUMNS), model).where(F.col("score") >= MIN_QUALITY).select(*COLUMNS)
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that recur in many documents go; all documents stay, with their new text and length."""
-    kept = dedup_lines(docs).select(F.col("doc_id").alias("in_doc"), F.col("text").alias("was"), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("in_doc")) & F.col("text").eqNullSafe(F.col("was"))
-    # rows that repeat a document's id and text have one result between them
-    return docs.join(store(kept.distinct()), same, "left").select(
+    return dedup_lines(docs, also=("lang", "source")).select(
         "doc_id",
         F.col("kept").alias("text"),
         "lang",
@@ -58,6 +72,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash group: that with the smallest doc_id, null being the largest.
 
@@ -72,6 +87,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(rows, placed.select("row").join(kept, "row", "left_anti"))
 
 
+@_stage
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is not contaminated by benchmark passages."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -80,6 +96,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(rows, judged.where("contaminated").select(F.col("doc_id").alias("row")))
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of 2048 tokens."""
     return packing_digest(docs)

@@ -46,16 +46,18 @@ WINDOW, STRIDE = 8, 3  # shingles, for longer templates
 FLIPPED = 0x5555555555555555
 
 
-def _shingles(words: str, size: int) -> Column:
-    """Hash of the ``size`` words from each position on."""
-    hashes = F.transform(
-        words, lambda x, i: F.xxhash64(F.lit(size), x, *(F.get(words, i + j) for j in range(1, size)))
+def _shingles(hashes: str, size: int) -> Column:
+    """Hash of the ``size`` words from each position on, made from the words' hashes."""
+    made = F.transform(
+        hashes, lambda x, i: F.xxhash64(F.lit(size), x, *(F.get(hashes, i + j) for j in range(1, size)))
     )
-    return F.slice(hashes, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+    return F.slice(made, 1, F.greatest(F.size(hashes) - (size - 1), F.lit(0)))
 
 
 def _with_shingles(words: DataFrame, sizes: list[int]) -> DataFrame:
-    return words.select("*", *(_shingles("words", size).alias(f"s{size}") for size in sizes))
+    """Each word is hashed once, whatever the number of sizes and of shingles it is in."""
+    hashed = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    return hashed.select(*words.columns, *(_shingles("hashes", size).alias(f"s{size}") for size in sizes))
 
 
 def _bands(shingles: Column, starts: Column) -> Column:

@@ -81,9 +81,11 @@ def build_envelope(
         return left.join(named, same).drop(*[f"_run_{i}" for i in range(len(run))])
 
     placed = with_run(chunks, sizes, "dt", "_wanted").withColumn("part", part)
-    # Hashing may leave a part without records: only those that have some are counted.
-    there = placed.select(*run, "part").distinct().groupBy(*run).agg(F.count(F.lit(1)).cast("int").alias("parts"))
-    placed = with_run(placed, materialize(there, "run-parts"), "parts")
+    if sizes.where("_wanted > 1").isEmpty():
+        placed = placed.withColumn("parts", F.lit(1))
+    else:  # hashing may leave a part without records: only those that have some are counted
+        there = placed.select(*run, "part").distinct().groupBy(*run).agg(F.count(F.lit(1)).cast("int").alias("parts"))
+        placed = with_run(placed, materialize(there, "run-parts"), "parts")
     # sort_array, not array_sort: the latter compares through an interpreted lambda.
     members = F.sort_array(F.collect_list(F.struct("_order", "_chunk", "_copies", "_element")))
     repeated = F.when(

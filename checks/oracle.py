@@ -234,3 +234,4 @@ ORACLE = {
     "many_documents_per_file": f"""SELECT event_id, CAST(user_id AS INTEGER) AS user_id, event_type, value, {_K} AS k
       FROM events""",
 }
+ORACLE["upsert_by_bucket"] = ORACLE["upsert"]

@@ -16,6 +16,7 @@ from aqlake.operators.joins import attach_register, join_feeds, unmatched_counts
 from aqlake.operators.quality import split_not_null
 from aqlake.operators.upsert import upsert as upsert_rows
 from aqlake.plans.conditions import build_star, conditions_wide, curate
+from aqlake.plans.keyed_table import read_keyed, upsert_keyed
 from aqlake.plans.refresh import read_current, read_date_dim, read_day_agg, read_location_dim, read_rejected
 from aqlake.plans.refresh import refresh as refresh_tables
 from aqlake.plans.register_load import load_register
@@ -293,18 +294,29 @@ def city_points_distinct(spark: SparkSession, sf: str) -> DataFrame:
 # Register -------------------------------------------------------------------
 
 
+def _lines(spark: SparkSession, sf: str, status: str) -> DataFrame:
+    summed = (
+        t.table(spark, sf, "lineitem").where(F.col("l_linestatus") == status)
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(F.max("l_extendedprice").alias("price"), F.max("l_quantity").alias("quantity"),
+             F.count(F.lit(1)).alias("n"))
+    )
+    return materialize(summed, "lines")
+
+
 def upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines still open replace or join the finished ones."""
-    def lines(status: str) -> DataFrame:
-        summed = (
-            t.table(spark, sf, "lineitem").where(F.col("l_linestatus") == status)
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(F.max("l_extendedprice").alias("price"), F.max("l_quantity").alias("quantity"),
-                 F.count(F.lit(1)).alias("n"))
-        )
-        return materialize(summed, "lines")
+    keys = ["l_orderkey", "l_linenumber"]
+    return upsert_rows(_lines(spark, sf, "F"), _lines(spark, sf, "O"), keys, ["price", "n"])
+
 
-    return upsert_rows(lines("F"), lines("O"), ["l_orderkey", "l_linenumber"], ["price", "n"])
+def upsert_by_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """The same into a table kept by key: one upsert makes it, one changes it."""
+    keys, root = ["l_orderkey", "l_linenumber"], scratch_path(spark, "keyed")
+    for status in "FO":
+        lines = _lines(spark, sf, status)
+        upsert_keyed(lines, root, lines.schema, keys, ["price", "n"])
+    return read_keyed(spark, root, lines.schema)
 
 
 def _register_csv(spark: SparkSession, sf: str, population, lat) -> str:
@@ -628,6 +640,7 @@ QUERIES = {
     "city_points": city_points,
     "city_points_distinct": city_points_distinct,
     "upsert": upsert,
+    "upsert_by_bucket": upsert_by_bucket,
     "csv_ingest": csv_ingest,
     "coordinate_pairs": coordinate_pairs,
     "peek_lines": peek_lines,

@@ -1,9 +1,12 @@
 import gzip
 
 import pytest
+from pyspark.sql import types as T
 
 from aqlake.operators.upsert import ambiguous_matches, upsert
-from aqlake.plans.register_load import load_register
+from aqlake.plans import keyed_table
+from aqlake.plans.keyed_table import drop_replaced, read_keyed, upsert_keyed
+from aqlake.plans.register_load import load_register, update_register
 from aqlake.session import scratch_path
 from aqlake.sources.register import coordinate_pairs, peek_lines, read_register
 from aqlake.sources.schemas import REGISTER, REGISTER_KEYS
@@ -86,6 +89,75 @@ def test_load_register_twice(spark, csv):
     assert once == twice and len(once) == 3
 
 
+def test_update_register_twice(spark, csv):
+    root = scratch_path(spark, "register")
+    for _ in range(2):
+        assert update_register(spark, csv, root) == "register load completed, 3 rows skipped"
+        assert read_keyed(spark, root, REGISTER).count() == 3
+
+
+def put(spark, root, *rows, buckets=8):
+    source = spark.createDataFrame(list(rows), "k long, v int, note string")
+    return upsert_keyed(source, root, SCHEMA, ["k"], ["v"], buckets)
+
+
+def kept(spark, root):
+    return sorted((tuple(r) for r in read_keyed(spark, root, SCHEMA).collect()), key=repr)
+
+
+SCHEMA = T.StructType().add("k", "long").add("v", "integer").add("note", "string")
+
+
+def test_keyed_table_rewrites_matched_buckets_only(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert kept(spark, root) == []
+    put(spark, root, *((k, 0, "old") for k in range(64)), (None, 0, "old"))
+    files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet") if "rows" in p.parts}
+    assert put(spark, root, (5, 1, "new"), (None, 1, "new")) == 2
+    want = [(k, int(k == 5), "old") for k in range(64)] + [(None, 0, "old"), (None, 1, "new")]
+    assert kept(spark, root) == sorted(want, key=repr)
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    anew = {p.parent.name for p in (tmp_path / "t/rows/version=2").rglob("*.parquet")}
+    assert 1 <= len(anew) <= 2  # the bucket of 5, and the one of the new row without a key
+    read = {f.split("/rows/")[1].rsplit("/", 1)[0] for f in read_keyed(spark, root, SCHEMA).inputFiles()}
+    assert read <= {str(p.parent.relative_to(tmp_path / "t/rows")) for p in tmp_path.rglob("*.parquet") if "rows" in p.parts}
+    assert drop_replaced(spark, root, keep=0) == 1
+    assert kept(spark, root) == sorted(want, key=repr)
+
+
+def test_keyed_table_adds_new_keys_beside_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "MAX_ADDED", 2)
+    root = str(tmp_path / "t")
+    for k in range(4):
+        put(spark, root, (k, 0, "old"), buckets=1 + k)  # the number of buckets stays as it was
+    assert kept(spark, root) == [(k, 0, "old") for k in range(4)]
+    assert drop_replaced(spark, root, keep=0) == 3  # the fourth has gathered the three before it
+    assert kept(spark, root) == [(k, 0, "old") for k in range(4)]
+
+
+def test_an_upsert_that_died_is_invisible(spark, tmp_path):
+    root = str(tmp_path / "t")
+    put(spark, root, (1, 0, "old"), (2, 0, "old"))
+    left = spark.createDataFrame([(1, 9, "lost", b) for b in range(8)], "k long, v int, note string, bucket int")
+    left.write.partitionBy("bucket").parquet(f"{root}/rows/version=2")
+    assert kept(spark, root) == [(1, 0, "old"), (2, 0, "old")]
+    put(spark, root, (2, 5, "new"))
+    assert kept(spark, root) == [(1, 0, "old"), (2, 5, "old")]
+
+
+def test_keyed_table_casts_keys_and_refuses_ambiguous_ones(spark, tmp_path):
+    root = str(tmp_path / "t")
+    put(spark, root, (1, 0, "old"))
+    upsert_keyed(spark.createDataFrame([(1, 7, "x")], "k int, v int, note string"), root, SCHEMA, ["k"], ["v"])
+    assert kept(spark, root) == [(1, 7, "old")]
+    with pytest.raises(ValueError, match="several rows"):
+        put(spark, root, (1, 1, "a"), (1, 2, "b"))
+    with pytest.raises(ValueError, match="bucket"):
+        upsert_keyed(spark.createDataFrame([(1,)], "bucket int"), root, T.StructType().add("bucket", "integer"), ["bucket"], [])
+    put(spark, root)
+    assert kept(spark, root) == [(1, 7, "old")]
+
+
 def test_load_register_refuses_ambiguous_file(spark, tmp_path):
     line = "a;a;1.0;1.0;PL;5;Europe/Warsaw;Poland\n"
     shapes.write_file(tmp_path, "r.csv", HEADER + line + line)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqlake.llm.calibrate import fit_logistic, logistic
-from aqlake.llm.shared import fold, hashed_sample, schema, store
+from aqlake.llm.shared import fold, schema, store
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -145,7 +145,8 @@ class LanguageModels:
                 pieces[lang] = [_sorted(hashes, part["value"].to_numpy())]
         self.langs = sorted(pieces)
         self.pieces = [pieces[lang] for lang in self.langs]
-        self.slope, self.offset = 1.0, 0.0
+        self.right = 1.0, 0.0  # slope and offset, by the margin
+        self.known = 0.0, 30.0  # by the lowest entropy; as good as certain until calibrated
 
     def bits(self, gram: np.ndarray) -> np.ndarray:
         """(languages, grams): -log2 of each last character's probability."""
@@ -207,25 +208,44 @@ class LanguageModels:
         bits = self.entropies(texts)
         best = bits.argmin(axis=1)
         lowest = bits[np.arange(len(bits)), best]
-        known = np.isfinite(lowest)
-        score = np.where(known, logistic(self._margin(bits), self.slope, self.offset), 0.0)
-        return [self.langs[b] if k else "und" for b, k in zip(best, known)], score, lowest
-
-    def _margin(self, bits: np.ndarray) -> np.ndarray:
-        """How far the second best language is behind the best."""
-        if bits.shape[1] < 2:
-            return np.ones(len(bits))
-        two = np.partition(np.where(np.isfinite(bits), bits, 0.0), 1, axis=1)
-        return two[:, 1] - two[:, 0]
+        lettered = np.isfinite(lowest)
+        likely = logistic(np.where(lettered, lowest, 0.0), *self.known) * logistic(_margin(bits), *self.right)
+        return [self.langs[b] if k else "und" for b, k in zip(best, lettered)], np.where(lettered, likely, 0.0), lowest
 
     def calibrate(self, texts, langs) -> None:
+        """Fit the two factors of the score on texts that the models have not learnt from.
+
+        Whether a text's language is among the models' at all is judged by its lowest entropy. What a text of
+        an unknown language looks like is told by the same texts without the model of their own language. Whether
+        the best language is right, if it is among them, is judged by how far the second best is behind.
+        """
         if not len(texts) or not self.langs:
             return
         bits = self.entropies(texts)
-        right = [int(self.langs[b] == lang) for b, lang in zip(bits.argmin(axis=1), langs)]
-        self.slope, self.offset = fit_logistic(self._margin(bits), right)
-        if self.slope <= 0:  # the sample holds no mistake that a margin could tell
-            self.slope = 1.0
+        lettered = np.isfinite(bits.min(axis=1))
+        bits, own = bits[lettered], np.array([self.langs.index(lang) for lang in langs])[lettered]
+        if not len(bits):
+            return
+        right = (bits.argmin(axis=1) == own).astype(int)
+        slope, offset = fit_logistic(_margin(bits), right)
+        # without a mistake that a margin could tell, the share of right ones is all there is to say
+        self.right = (slope, offset) if slope > 0 else (0.0, float(np.log((right.sum() + 1) / (len(right) - right.sum() + 1))))
+        if len(self.langs) < 2:
+            return
+        others = bits.copy()
+        others[np.arange(len(bits)), own] = np.inf
+        lowest = np.concatenate([bits.min(axis=1), others.min(axis=1)])
+        slope, offset = fit_logistic(lowest, np.repeat([1, 0], len(bits)))
+        if slope < 0:  # else the languages are too alike for an entropy to tell
+            self.known = slope, offset
+
+
+def _margin(bits: np.ndarray) -> np.ndarray:
+    """How far the second best language is behind the best."""
+    if bits.shape[1] < 2:
+        return np.ones(len(bits))
+    two = np.partition(np.where(np.isfinite(bits), bits, 0.0), 1, axis=1)
+    return two[:, 1] - two[:, 0]
 
 
 def _pieces(entries: DataFrame) -> dict[str, list]:
@@ -254,10 +274,24 @@ def _pieces(entries: DataFrame) -> dict[str, list]:
 
 
 def fit_languages(docs: DataFrame, sample: int = 2000) -> LanguageModels:
-    """Models from all rows with text and lang; calibrated on ``sample`` of them at most, chosen by hash."""
-    models = LanguageModels(pieces=_pieces(kneser_ney(gram_counts(docs))))
-    taught = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    some = hashed_sample(taught.select("text", "lang"), ["text", "lang"], sample).toPandas()
+    """Models from the rows with text and lang, calibrated on texts that are left out of them.
+
+    A tenth of the different texts, at most ``sample``, are left out: those with the least hashes. A language
+    that would lose all its texts keeps them. All copies of a text are on one side. With fewer than ten
+    texts none is left out and nothing is calibrated.
+    """
+    h = F.xxhash64("text", "lang")
+    taught = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
+    hashes = store(taught.select("lang", h.alias("h")).distinct())
+    left_out = F.lit(False)
+    if take := min(sample, hashes.count() // 10):
+        upto = hashes.orderBy("h").limit(take).agg(F.max("h")).first()[0]
+        langs = [r[0] for r in hashes.where(F.col("h") > upto).select("lang").distinct().collect()]
+        left_out = (h <= upto) & F.col("lang").isin(langs)
+    models = LanguageModels(pieces=_pieces(kneser_ney(gram_counts(taught.where(~left_out)))))
+    some = taught.where(left_out).groupBy(h.alias("h")).agg(F.min(F.struct("text", "lang")).alias("row")).select("row.*").toPandas()
+    # a language without a single letter in its texts has no model
+    some = some[some["lang"].isin(models.langs)]
     models.calibrate(some["text"].tolist(), some["lang"].tolist())
     return models
 
@@ -266,7 +300,8 @@ def identify(docs: DataFrame, models: LanguageModels, min_score: float = 0.5) ->
     """(doc_id, lang_pred, score, rejected), one row per row of ``docs``.
 
     The language whose model needs the fewest bits a character over the whole text; ties
-    go to the first name. ``und`` with score 0 for null text and text without letters.
+    go to the first name. ``und`` with score 0 for null text and text without letters. The score
+    is the calibrated probability that the language is one of the models' and that it is the right one.
     ``rejected``: no language, or a score below ``min_score``. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -147,7 +147,27 @@ def test_quality_of_odd_rows_and_no_labels(spark):
 def test_language_held_out(spark, sf_dir="/root/testdata/sf0.01"):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = language.language_digest(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
-    assert (got[got.held_out].lang_pred == got[got.held_out].lang).mean() > 0.95
+    held_out = got[got.held_out]
+    assert (held_out.lang_pred == held_out.lang).mean() > 0.95
+    assert abs(held_out.score.mean() - (held_out.lang_pred == held_out.lang).mean()) < 0.03
+
+
+def test_texts_of_unknown_languages_are_rejected(spark, sf_dir="/root/testdata/sf0.01"):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    unknown = docs.groupBy("lang").count().where("lang IS NOT NULL").orderBy("count").first().lang
+    models = language.fit_languages(docs.where(F.col("lang") != unknown))
+    got = language.identify(docs.where("lang IS NOT NULL"), models).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert got[got.lang == unknown].rejected.mean() > 0.9 and got[got.lang != unknown].rejected.mean() < 0.02
+    others = documents(spark, [(1, "これは日本語の文章です"), (2, "Это предложение на русском языке"), (3, "xqzv kjwq zzxq vvkq")])
+    assert all(r.rejected and r.score < 0.5 for r in language.identify(others, models).collect())
+
+
+def test_languages_of_few_texts_keep_them(spark):
+    rows = [(i, f"word number{i} und{i} text", "en") for i in range(200)] + [(900, "ein einziger satz", "de")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    models = language.fit_languages(docs)
+    assert models.langs == ["de", "en"]
+    assert models.predict(["ein einziger satz"])[0] == ["de"]
 
 
 def test_kneser_ney_sums_to_one(spark):

@@ -47,19 +47,25 @@ def templates(urls: DataFrame) -> DataFrame:
     or lead to at most ``MAX_REUSE`` different paths. Otherwise a segment whose smoothed
     share of blocked pages is within one standard error of its node's is merged with all
     others like it (also ``*``), and a segment that differs keeps its name. This goes on until all paths have ended. The rest
-    of a path that is alone below its node is all ``*``, as it cannot differ from its node.
+    of a path that is alone below its node is all ``*``, as it cannot differ from its node. Segments that all
+    paths of a node share are passed in one step, so there are as many steps as places where paths part, one below
+    the other, however deep the paths are.
     """
     cut = F.split(F.regexp_replace("path", r"^/", ""), "/")
     now = store(urls.select("*", F.lit("").alias("template"), cut.alias("segments"), F.lit(False).alias("ended")))
-    ended, level = [now.where("ended")], 0
+    ended = [now.where("ended")]
+    node = ["host", "template"]
     while not (going := now.where(~F.col("ended"))).isEmpty():
-        left = F.size("segments") - (level + 1)
-        going = going.withColumn("segment", F.get("segments", F.lit(level)))
+        going = store(_past_shared(going))
+        ended.append(going.where("ended"))
+        going = going.where(~F.col("ended"))
+        left = F.size("segments") - 1
+        going = going.withColumn("segment", F.get("segments", F.lit(0)))
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
-        branches = store(going.groupBy("host", "template", "segment").agg(*sums))
+        branches = store(going.groupBy(*node, "segment").agg(*sums))
         value = F.col("segment").rlike("[0-9]") | (F.col("n") <= MAX_REUSE)
         nodes = store(
-            branches.groupBy("host", "template").agg(
+            branches.groupBy(*node).agg(
                 F.count("*").alias("kinds"),
                 F.count_if(value).alias("values"),
                 F.sum("n").alias("paths"),
@@ -70,9 +76,8 @@ def templates(urls: DataFrame) -> DataFrame:
         error = F.sqrt(F.col("p") * (F.lit(1.0) - F.col("p")) / (F.col("blocked") + F.col("allowed") + F.lit(2.0)))
         alike = F.abs(_purity(F.col("blocked"), F.col("allowed")) - F.col("p")) <= error
         decided = store(
-            branches.join(nodes, ["host", "template"]).select(
-                "host",
-                "template",
+            branches.join(nodes, node).select(
+                *node,
                 "segment",
                 F.when(variable | alike, F.lit("*")).otherwise(F.col("segment")).alias("name"),
                 (F.col("paths") == 1).alias("alone"),
@@ -80,22 +85,49 @@ def templates(urls: DataFrame) -> DataFrame:
         )
         rest = F.when(F.col("alone"), F.repeat(F.lit("/*"), left)).otherwise(F.lit(""))
         now = store(
-            going.join(decided, ["host", "template", "segment"]).select(
+            going.join(decided, [*node, "segment"]).select(
                 "host",
                 "path",
                 "n",
                 "blocked",
                 "allowed",
                 F.concat("template", F.lit("/"), "name", rest).alias("template"),
-                "segments",
+                F.slice("segments", F.lit(2), left).alias("segments"),
                 (F.col("alone") | (left == 0)).alias("ended"),
             )
         )
         ended.append(now.where("ended"))
-        level += 1
     return reduce(DataFrame.unionByName, ended).drop("segments", "ended")
 
 
+def _past_shared(going: DataFrame) -> DataFrame:
+    """Write ``*`` for the next segments in which the paths of a node that still go on do not differ.
+
+    Such a segment has its node's own share of blocked pages, so it would be merged into ``*`` by itself, one level
+    after the other. Every path is held against the longest of its node: the node's first difference is the
+    least one of its paths, and a path that is the start of the longest ends without one.
+    """
+    node = ["host", "template"]
+    longest = store(going.groupBy(*node).agg(F.max(F.struct(F.size("segments").alias("size"), "segments")).alias("long")))
+    differs = F.array_position(
+        F.zip_with("segments", F.slice("long.segments", F.lit(1), F.size("segments")), lambda a, b: a == b), False
+    )
+    held = store(going.join(longest.select(*node, "long"), node).select(*going.columns, differs.alias("differs")))
+    first = held.where("differs > 0").groupBy(*node).agg(F.min("differs").alias("first"))
+    size = F.size("segments")
+    shared = F.least(F.coalesce(F.col("first") - 1, size), size).cast("int")
+    return held.join(store(first), node, "left").select(
+        "host",
+        "path",
+        "n",
+        "blocked",
+        "allowed",
+        F.concat("template", F.repeat(F.lit("/*"), shared)).alias("template"),
+        F.slice("segments", shared + 1, size - shared).alias("segments"),
+        (shared == size).alias("ended"),
+    )
+
+
 def judge_urls(pages: DataFrame, rules=RULES, min_purity: float = MIN_PURITY) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, template), one row per row of ``pages``.
 

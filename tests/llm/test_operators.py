@@ -278,6 +278,59 @@ def test_url_templates_follow_paths_of_any_depth(spark):
     assert got[urls[-2]][1] == "/*/*" and got[urls[-1]][1] == "/*" * 41
 
 
+def templates_by_hand(rows):
+    """{(host, path): template}, one level after the other; rows: (host, path, blocked, allowed)."""
+    def purity(part):
+        blocked, allowed = (sum(r[k] for r in part) for k in (2, 3))
+        return (blocked + 1) / (blocked + allowed + 2), blocked + allowed + 2
+
+    out, level = {}, 0
+    now = [(*r, "", r[1].removeprefix("/").split("/")) for r in rows]
+    while now:
+        nodes, further = {}, []
+        for r in now:
+            nodes.setdefault((r[0], r[4]), {}).setdefault(r[5][level], []).append(r)
+        for kinds in nodes.values():
+            every = [r for part in kinds.values() for r in part]
+            p = purity(every)[0]
+            values = sum(any(c in "0123456789" for c in s) or len(part) <= 2 for s, part in kinds.items())
+            for segment, part in kinds.items():
+                q, n = purity(part)
+                star = (len(kinds) >= 8 and 2 * values >= len(kinds)) or abs(q - p) <= (p * (1 - p) / n) ** 0.5
+                for r in part:
+                    template, left = f"{r[4]}/{'*' if star else segment}", len(r[5]) - level - 1
+                    if len(every) == 1 or not left:
+                        out[r[0], r[1]] = template + "/*" * left
+                    else:
+                        further.append((*r[:4], template, r[5]))
+        now, level = further, level + 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_url_templates_equal_those_made_level_by_level(spark, seed):
+    rng = np.random.default_rng(seed)
+    paths = {"/", "", "/a", "/a/", "/a//b", "/1/2/3"}
+    for _ in range(300):
+        parts = [str(rng.choice(["a", "b", "c", "de", "en", str(rng.integers(40))])) for _ in range(rng.integers(1, 7))]
+        paths.add("/" + "/".join(parts[: rng.integers(1, 7)]))
+        paths.add("/x/y/z/" + "/".join(parts))
+    rows = [(f"h{rng.integers(3)}", p, *((1, 0) if (mark := rng.random()) < 0.3 + 0.4 * ("/de" in p) else (0, int(mark > 0.8)))) for p in sorted(paths)]
+    df = spark.createDataFrame([(h, p, 1, b, a) for h, p, b, a in rows], "host string, path string, n long, blocked long, allowed long")
+    got = {(r.host, r.path): r.template for r in url_filter.templates(df).collect()}
+    assert got == templates_by_hand(rows)
+
+
+def test_url_templates_pass_shared_segments_in_one_step(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(url_filter, "_past_shared", lambda df, plain=url_filter._past_shared: steps.append(1) or plain(df))
+    trap = ["/".join(["", *["next"] * k]) for k in range(1, 300)]  # each path the start of the one after it
+    paths = [*trap, "/" + "s/" * 500 + "1", "/" + "s/" * 500 + "2"]
+    df = spark.createDataFrame([("trap" if "n" in p else "deep", p, 1, 0, 0) for p in paths], "host string, path string, n long, blocked long, allowed long")
+    got = {r.path: r.template for r in url_filter.templates(df).collect()}
+    assert got == {p: "/*" * p.count("/") for p in paths} and len(steps) <= 2
+
+
 PAGE = (
     "<html><head><title>T</title><script>var a='<p>';</script></head><body><nav><a href=/>Home</a></nav>"
     "<div class='cookie-notice'>We use cookies</div><article><h1>Rivers &amp; hills</h1><p><b>Water runs\n from the hills,"

@@ -117,3 +117,15 @@ def test_feeds_meet_as_stored_tables(spark):
     """A plan takes exploded documents for a fraction of their size, and would broadcast millions of rows."""
     plan = plan_of(QUERIES["wide_from_documents"](spark, SF))
     assert "Generate" not in plan and "curated-pollution" in plan and "curated-weather" in plan
+
+
+def test_settings_of_the_caller_stay(spark, conf):
+    from aqlake.session import settle
+
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    conf(**{listing.replace(".", "__"): "3"})
+    settle(spark)
+    assert spark.conf.get(listing) == "3"
+    spark.conf.unset(listing)
+    settle(spark)
+    assert int(spark.conf.get(listing)) == 8 * spark.sparkContext.defaultParallelism

@@ -122,10 +122,11 @@ def test_feeds_meet_as_stored_tables(spark):
 def test_settings_of_the_caller_stay(spark, conf):
     from aqlake.session import settle
 
-    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    conf(**{listing.replace(".", "__"): "3"})
+    listing, shredding = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.variant.inferShreddingSchema"
+    conf(**{listing.replace(".", "__"): "3", shredding.replace(".", "__"): "true"})
     settle(spark)
-    assert spark.conf.get(listing) == "3"
-    spark.conf.unset(listing)
+    assert (spark.conf.get(listing), spark.conf.get(shredding)) == ("3", "true")
+    spark.conf.unset(listing), spark.conf.unset(shredding)
     settle(spark)
     assert int(spark.conf.get(listing)) == 8 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(shredding) == "false"

@@ -6,6 +6,7 @@ import itertools
 import os
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -402,3 +403,15 @@ def test_one_feed_without_any_file(site):
     site.land(WEATHER, shapes.document(shapes.weather_element(*PLACE)))
     site.run()
     assert len(site.rows("wide")) == 1
+
+
+def test_documents_are_stored_whole(site, conf):
+    """Parts of a document get no columns of their own: it is always read whole."""
+    shredding = "spark.sql.variant.inferShreddingSchema"
+    conf(**{shredding.replace(".", "__"): "true"})
+    site.spark.conf.unset(shredding)  # as in a session that the library has not built
+    site.land_both(0, DAY)
+    site.ingest(POLLUTION)
+    stored = next((site.folder / "lake" / "staging_pollution").rglob("*.parquet"))
+    document = pq.read_schema(stored).field("json_data").type
+    assert sorted(document.field(i).name for i in range(document.num_fields)) == ["metadata", "value"]

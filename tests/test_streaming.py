@@ -99,6 +99,23 @@ def test_small_batches_and_archive(site):
     assert site.staging(WEATHER).count() == 5
 
 
+def test_a_micro_batch_takes_few_jobs_and_accounts_for_all_files(site):
+    site.land(WEATHER, *[shapes.document(shapes.weather_element(*PLACE, dt=shapes.HOUR + 86400 * i)) for i in range(8)], "no json")
+    shapes.write_file(site.folder / "landing" / "weather", "zz.json.gz", b"no gzip")
+    staging = site.lake.staging(WEATHER)
+    query = ingest(site.spark, str(site.folder / "landing" / "weather"), WEATHER, staging, site.lake.checkpoint("weather"), max_files=1)
+    query.awaitTermination()
+    batches = sum(1 for p in query.recentProgress if p["numInputRows"])
+    jobs = site.spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))
+    # names, documents and days; the first batch looks at the folder and the last writes a file without documents
+    assert batches == 10 and len(jobs) <= 3 * batches + 12
+    assert site.staging(WEATHER).count() == 8
+    reasons = sorted(r.reason for r in read_quarantine(site.spark, staging).collect())
+    assert reasons == ["no document", "unreadable file"]
+    days = site.spark.read.parquet(f"{staging}-days").groupBy("batch").count().collect()
+    assert [r["count"] for r in days] == [1] * 8
+
+
 def test_unloadable_documents_are_quarantined(site):
     good = shapes.document(shapes.weather_element(*PLACE))
     site.land(WEATHER, '{"results": []}', "no json", b"\xff\xfe\x00{", good, b"", " \n", f"{good}\n{{")

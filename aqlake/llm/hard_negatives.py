@@ -13,6 +13,7 @@ from aqlake.llm.vectors import finite, of_common_length, scaled
 ROWS = 4096  # candidates of one block, and anchors of one group
 HELD = 8  # blocks that one group holds at most
 FIRST = 32  # depth of the first round of sorted access
+TOGETHER = 128  # anchors that search a block together
 LARGEST = 1 << 25  # beyond it an inner product might not fit into a long
 NEVER = np.iinfo(np.int64).min
 
@@ -40,40 +41,73 @@ def _best(scores: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> np.n
     return np.where((at < len(scores)) & (held >= low), held, low)
 
 
+def _product(vectors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Random access: scores of some candidates for some anchors, an anchor a row."""
+    return vectors @ rows.T
+
+
 def threshold_search(block: Block, anchor: np.ndarray, eligible: np.ndarray, low: np.ndarray, high: np.ndarray, k: int):
-    """The ``k`` best eligible candidates of each window: a list of (scores, places), best first.
+    """``group_search`` for one anchor: a list of (scores, places), a pair for each window."""
+    return group_search(block, anchor[None], eligible[None], low[None], high[None], k)[0][0]
+
+
+def group_search(block: Block, anchors: np.ndarray, eligible: np.ndarray, low: np.ndarray, high: np.ndarray, k: int):
+    """For each anchor the ``k`` best eligible candidates of each of its windows, and the windows' floors.
+
+    ``anchors``, ``eligible``, ``low`` and ``high`` have a row for each anchor. Returns a pair for each:
+    a list of (scores, places), best first, for its windows, and the scores from which on they were looked at.
 
     A window holds scores from ``low`` to ``high``; ties go to the smaller id, then row. Sorted
-    access goes down every dimension's list, from the end that the sign of the anchor's
-    component favours; a candidate met for the first time is scored at once on all
-    dimensions (random access). No candidate still unmet can score above the threshold,
-    the anchor's product with the values at the current depth, so access ends as soon as
-    the threshold is strictly below the kth score of every window (its lower end while it
-    holds fewer). The depth doubles each round.
+    access goes down every dimension's list, from the end that the sign of an anchor's
+    component favours; the anchors go down together, and a candidate met by any of them for the first
+    time is scored at once on all dimensions (random access) for all that still search. No candidate
+    still unmet can score above an anchor's threshold, its product with the values at the
+    current depth, so its access ends as soon as the threshold is strictly below the kth score of every
+    window (its lower end while it holds fewer). The depth doubles each round.
     """
-    m = len(block.ids)
-    live = np.flatnonzero(anchor)
-    weights = anchor[live]
-    lists = live + np.where(weights > 0, 0, len(anchor))
-    met = np.zeros(m, bool) if len(live) else np.ones(m, bool)
-    scores = np.zeros(m, np.int64)
-    depth, step, floor = 0, FIRST, low
-    while not met.all():
+    m, dims = len(block.ids), anchors.shape[1]
+    up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
+    lists = np.flatnonzero(np.concatenate([up.any(axis=0), down.any(axis=0)]))
+    met = np.zeros(m, bool) if len(lists) else np.ones(m, bool)
+    scores = np.zeros((len(anchors), m), np.int64)
+    known: list[np.ndarray] = [met] * len(anchors)
+    top = low.max(axis=1)  # no floor can be above it
+    live = np.arange(len(anchors))
+    depth, step = 0, FIRST
+
+    def floor(i: int) -> np.ndarray:
+        own = scores[i][known[i] & eligible[i] & (scores[i] >= low[i].min())]
+        return _best(-np.sort(-own), low[i], high[i], k)
+
+    while len(live) and not met.all():
         seen = met.copy()
         seen[block.lists[lists, depth : depth + step]] = True
         fresh = np.flatnonzero(seen & ~met)
-        scores[fresh] = block.x[fresh] @ anchor
+        if len(fresh):
+            scored = _product(anchors[live], block.x[fresh]).astype(np.int64, copy=False)
+            scores[live[:, None], fresh] = scored
+            top[live] = np.maximum(top[live], scored.max(axis=1))
         met = seen
         depth = min(m, depth + step)
-        floor = _best(-np.sort(-scores[met & eligible]), low, high, k)
-        if depth == m or np.all(block.values[lists, depth - 1] @ weights < floor):
-            break
         step = depth
+        for i in live:
+            known[i] = met
+        if depth == m:
+            break
+        bound = up[live] @ block.values[:dims, depth - 1] + down[live] @ block.values[dims:, depth - 1]
+        done = bound < top[live]
+        for at in np.flatnonzero(done):
+            done[at] = np.all(bound[at] < floor(live[at]))
+        live = live[~done]
     found = []
-    for a, b in zip(np.maximum(low, floor), high):
-        near = np.flatnonzero(met & eligible & (scores >= a) & (scores <= b))
-        near = near[np.lexsort((block.rows[near], block.ids[near], -scores[near]))[:k]]
-        found.append((scores[near], near))
+    for i in range(len(anchors)):
+        least = floor(i)
+        places = np.flatnonzero(known[i] & eligible[i] & (scores[i] >= least.min()))
+        held = scores[i][places]
+        order = np.lexsort((block.rows[places], block.ids[places], -held))
+        places, held = places[order], held[order]
+        inside = (held >= least[:, None]) & (held <= high[i][:, None])
+        found.append(([(held[w][:k], places[w][:k]) for w in inside], least))
     return found
 
 
@@ -122,6 +156,13 @@ def _unpacked(blocks: pa.Table, at: int) -> Block:
     )
 
 
+def _together(windows: list[np.ndarray]) -> list[np.ndarray]:
+    """Places of anchors that search together: of equally many windows, and not too many."""
+    number = np.array([w.shape[1] for w in windows])
+    places = [np.flatnonzero(number == n) for n in np.unique(number)]
+    return [p[at : at + TOGETHER] for p in places for at in range(0, len(p), TOGETHER)]
+
+
 def _searched(anchors: DataFrame, blocks: DataFrame, sizes: tuple[int, int, int], k: int, same: bool) -> DataFrame:
     """(row, slot, score, vec_id, other): each block's best rows for each window of each anchor.
 
@@ -148,16 +189,27 @@ def _searched(anchors: DataFrame, blocks: DataFrame, sizes: tuple[int, int, int]
             rows, labels = _numbers(left.column("row")), left.column("label").to_pylist()
             vectors = [np.array(x, np.int64) for x in left.column("x").to_pylist()]
             windows = [np.array(w, np.int64).reshape(2, -1) for w in zip(left.column("low").to_pylist(), left.column("high").to_pylist())]
+            matrix = np.stack(vectors)
+            lows, highs = (list(side) for side in zip(*windows))
             for at in range(right.num_rows):
                 block = _unpacked(right, at)
-                own = {label: block.labels == label for label in set(labels)}
-                for row, label, vector, (low, high) in zip(rows, labels, vectors, windows):
-                    eligible = own[label] & (block.rows != row) if same else ~own[label]
-                    if not eligible.any():
+                codes: dict = {}
+                own, theirs = (np.array([codes.setdefault(x, len(codes)) for x in side]) for side in (labels, block.labels))
+                for some in _together(windows):
+                    eligible = own[some][:, None] == theirs
+                    eligible = eligible & (rows[some][:, None] != block.rows) if same else ~eligible
+                    some = some[asked := eligible.any(axis=1)]
+                    if not len(some):
                         continue
-                    for slot, (scores, places) in enumerate(threshold_search(block, vector.astype(block.x.dtype), eligible, low, high, k)):
-                        for got, values in zip(out, (np.full(len(places), row), np.full(len(places), slot), scores, block.ids[places], block.rows[places])):
-                            got.append(values)
+                    low, high = np.stack([lows[i] for i in some]), np.stack([highs[i] for i in some])
+                    searched = group_search(block, matrix[some].astype(block.x.dtype), eligible[asked], low, high, k)
+                    for i, (slots, floor) in zip(some, searched):
+                        # k rows of this block reach the floor, so rows of the next ones need to
+                        lows[i] = floor
+                        for slot, (scores, places) in enumerate(slots):
+                            if len(places):
+                                for got, values in zip(out, (np.full(len(places), rows[i]), np.full(len(places), slot), scores, block.ids[places], block.rows[places])):
+                                    got.append(values)
         return pa.table([pa.array(np.concatenate(o) if o else [], k) for o, k in zip(out, kinds)], names=names)
 
     keys = ["heap", "shelf"]

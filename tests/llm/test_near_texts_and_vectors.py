@@ -216,6 +216,26 @@ def test_threshold_search_stops_early_and_loses_nothing():
         assert [(-s, i) for s, i in zip(got, places)] == wanted
 
 
+def test_anchors_search_a_block_together_in_few_products(monkeypatch):
+    random = np.random.default_rng(2)
+    x = random.integers(-300, 300, (1500, 16))
+    block = hard_negatives.Block(np.arange(1500) // 2, np.arange(1500), np.zeros(1500), x.astype(float), hard_negatives.Block.falling(x))
+    anchors = random.integers(-5, 6, (60, 16)).astype(float)
+    anchors[7] = 0
+    eligible = random.random((60, 1500)) < 0.3
+    low, high = np.tile([-(10**9), 800, 10**8], (60, 1)), np.tile([10**9, 2500, 10**9], (60, 1))
+    products, product = [], hard_negatives._product
+    monkeypatch.setattr(hard_negatives, "_product", lambda *sides: products.append(1) or product(*sides))
+    found = hard_negatives.group_search(block, anchors, eligible, low, high, 4)
+    assert len(products) <= 8  # one a round, not one a round and anchor
+    for i, (slots, floors) in enumerate(found):
+        scores = (x @ anchors[i]).astype(int)
+        for (got, places), a, b, floor in zip(slots, low[i], high[i], floors):
+            wanted = sorted((-scores[j], j) for j in range(1500) if eligible[i, j] and a <= scores[j] <= b)
+            assert [(-s, j) for s, j in zip(got, places)] == wanted[:4]
+            assert floor == (-wanted[3][0] if len(wanted) > 3 else a)
+
+
 def test_empty_tables(spark):
     assert minhash.minhash_digest(documents(spark, ODD).limit(0)).collect() == []
     assert whitening.whitening_digest(vectors(spark, [])).collect() == []

@@ -106,9 +106,10 @@ def scan_licenses(docs: DataFrame, notices: DataFrame, min_containment: float =
     Retrieval: overlapping windows of a document's shingles meet windows of the templates
     in MinHash bands. Templates of up to 24 shingles use windows of one shingle, whose
     MinHash is the shingle itself, so none with a shared shingle is missed. Longer ones
-    use windows of 8 shingles at every third position of the document and at every
-    position of the template: a shared run of 10 shingles holds an equal window, and with
-    a containment of 0.8 under replaced words there is such a run. Verification reads
+    use windows of 8 shingles at every third position of a document that has a shingle of
+    such a template (no other can meet one in a band) and at every position of the template: a
+    shared run of 10 shingles holds an equal window, and with a containment of 0.8 under
+    replaced words there is such a run. Verification reads
     only the retrieved documents again and compares shingles as texts.
 
     Null or empty text matches nothing, also a template without words. Rows with one
@@ -131,19 +132,38 @@ def scan_licenses(docs: DataFrame, notices: DataFrame, min_containment: float =
     long_keys = _with_shingles(long, [SHINGLE]).select(
         "license_id", F.explode(_bands(F.col(f"s{SHINGLE}"), _starts(f"s{SHINGLE}", 1))).alias("key")
     )
-    keys = store(
-        reduce(DataFrame.unionByName, [*short_keys, long_keys])
+    # Windows that meet in a band share the shingle that is the least there: documents without a shingle of a
+    # long template need no windows.
+    nameless = F.lit(None).cast(templates.schema["license_id"].dataType).alias("license_id")
+    parts = _with_shingles(long, [SHINGLE]).select(nameless, F.explode(f"s{SHINGLE}").alias("key"))
+    known = store(
+        reduce(DataFrame.unionByName, [*short_keys, parts])
         .groupBy("key")
-        .agg(F.collect_set("license_id").alias("license_ids"))
+        .agg(F.collect_set("license_id").alias("license_ids"), F.bool_or(F.col("license_id").isNull()).alias("long"))
     )
-
     shingled = _with_shingles(docs.select("doc_id", alnum_words(F.col("text")).alias("words")), sizes)
-    bands = [_bands(F.col(f"s{SHINGLE}"), _starts(f"s{SHINGLE}", STRIDE))] if any_long else []
-    found = (
-        shingled.select("doc_id", F.explode(F.array_distinct(F.concat(*(F.col(f"s{size}") for size in sizes), *bands))).alias("key"))
-        .join(keys, "key")
-        .select("doc_id", F.explode("license_ids").alias("license_id"))
+    met = store(
+        shingled.select("doc_id", F.explode(F.array_distinct(F.concat(*(F.col(f"s{size}") for size in sizes)))).alias("key"))
+        .join(known, "key")
+        .select("doc_id", F.explode_outer("license_ids").alias("license_id"), "long")
         .distinct()
+    )
+    held = met.where(F.col("license_id").isNotNull()).select("doc_id", "license_id")
+    if any_long:
+        keys = store(long_keys.groupBy("key").agg(F.collect_set("license_id").alias("license_ids")))
+        near = store(met.where("long").select(F.col("doc_id").alias("near_doc")).distinct())
+        windowed = docs.join(near, F.col("doc_id").eqNullSafe(F.col("near_doc")), "left_semi").select(
+            "doc_id", alnum_words(F.col("text")).alias("words")
+        )
+        bands = _bands(F.col(f"s{SHINGLE}"), _starts(f"s{SHINGLE}", STRIDE))
+        held = held.unionByName(
+            _with_shingles(windowed, [SHINGLE])
+            .select("doc_id", F.explode(F.array_distinct(bands)).alias("key"))
+            .join(keys, "key")
+            .select("doc_id", F.explode("license_ids").alias("license_id"))
+        )
+    found = (
+        held.distinct()
         .join(templates.select("license_id", "k", "n", "texts"), "license_id")
         .groupBy(F.col("doc_id").alias("in_doc"))
         .agg(F.collect_set(F.struct("license_id", "k", "n", "texts")).alias("templates"))

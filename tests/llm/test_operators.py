@@ -402,6 +402,17 @@ def test_license_scan(spark):
     assert [(r.doc_id, r.license_id, r.containment) for r in license_scan(documents(spark, rows)).collect()] == [(50, "mit", 1.0)]
 
 
+def test_only_documents_with_a_shingle_of_a_long_notice_have_windows(spark, monkeypatch):
+    words = license_scan_module.NOTICES["mit-text"].split()
+    rows = [(1, prose(1, 60)), (2, f"{prose(2, 40)} {' '.join(words[10:16])}"), (3, " ".join(words)), (3, prose(3, 20)), (None, " ".join(words)), (4, "")]
+    frames, shingles = [], license_scan_module._with_shingles
+    monkeypatch.setattr(license_scan_module, "_with_shingles", lambda found, sizes: frames.append((found, sizes)) or shingles(found, sizes))
+    got = license_scan(documents(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.license_id, r.containment) for r in got) == [("3", "mit-text", 1.0), ("None", "mit-text", 1.0)]
+    windowed = [found for found, sizes in frames if "doc_id" in found.columns and sizes == [license_scan_module.SHINGLE]]
+    assert len(windowed) == 1 and sorted(str(r.doc_id) for r in windowed[0].collect()) == ["2", "3", "3", "None"]
+
+
 def test_long_notices_are_found_as_by_brute_force(spark):
     rng = np.random.default_rng(8)
     long = {i: re.findall("[a-z0-9]+", license_scan_module.NOTICES[i].lower()) for i in ("apache-2.0-header", "mit-text")}

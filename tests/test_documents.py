@@ -2,19 +2,21 @@ import datetime as dt
 import hashlib
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from aqlake.feeds import POLLUTION, WEATHER
 from aqlake.operators.dedup import latest_per_key
 from aqlake.operators.deliveries import incomplete_deliveries, newest_deliveries
-from aqlake.operators.envelope import build_envelope, override_coords, read_manifest, write_documents
+from aqlake.operators.envelope import FILE_BYTES, build_envelope, override_coords, read_manifest, write_documents
 from aqlake.operators.flatten import flatten_results
 from aqlake.operators.quality import split_not_null
 from aqlake.plans.conditions import curate
 from aqlake.session import materialize, scratch_path
 from aqlake.sources import schemas
 from aqlake.sources.documents import file_inventory, read_document_files, stage_documents
+from aqlake.streaming.ingest import write_staging
 from tests import shapes
 
 MIDNIGHT = dt.datetime(2024, 1, 1)
@@ -183,6 +185,32 @@ def test_written_documents(spark):
     assert stage_documents(read_document_files(spark, f"{root}/weather"), WEATHER).where("record_ts IS NOT NULL").count() == 5
 
 
+def test_a_big_day_lands_in_small_files_and_row_groups(spark):
+    root, staging = scratch_path(spark, "raw"), scratch_path(spark, "staging")
+    documents = spark.range(64, numPartitions=4).select(
+        F.expr("if(id < 62, timestamp_ntz'2024-07-01 10:00:00', if(id = 62, timestamp_ntz'2024-07-02 10:00:00', null))").alias("run"),
+        F.lit(0).alias("part"),
+        F.expr("""concat('{"results": [{"dt": ', id, ', "name": "',
+            array_join(transform(sequence(1, 8192), n -> sha2(concat(id, '/', n), 256)), ''), '"}]}')""").alias("document"),
+    )
+    write_documents(documents, WEATHER, "run", root)
+    files = file_inventory(spark, f"{root}/weather").collect()
+    total = sum(f.length for f in files)
+    assert total > 30_000_000 and max(f.length for f in files) < 16_000_000
+    assert len(files) <= 2 + -(-total // FILE_BYTES)
+    held = read_manifest(spark, root, WEATHER).collect()
+    assert len(held) == 64 and {f.path for f in files} == {r.path for r in held}
+    for row in held:
+        with open(row.path.removeprefix("file:"), "rb") as file:
+            file.seek(row.offset)
+            assert hashlib.md5(file.read(row.length)).hexdigest() == row.md5
+    # below a hundred documents, which a writer would by itself put into one row group
+    write_staging(stage_documents(read_document_files(spark, f"{root}/weather"), WEATHER).coalesce(1), staging)
+    (file,) = spark.read.parquet(staging).inputFiles()
+    stored = pq.ParquetFile(file.removeprefix("file://")).metadata
+    assert stored.num_rows == 64 and max(stored.row_group(i).total_byte_size for i in range(stored.num_row_groups)) < 20_000_000
+
+
 def test_documents_of_one_file(spark):
     one = shapes.document(shapes.weather_element(1.0, 2.0, name="x}\n{[\""))
     flat = json.dumps(json.loads(one))

@@ -116,6 +116,32 @@ def test_a_micro_batch_takes_few_jobs_and_accounts_for_all_files(site):
     assert [r["count"] for r in days] == [1] * 8
 
 
+def test_a_small_micro_batch_takes_two_jobs_and_a_file_a_day(site):
+    hours = [shapes.HOUR + 3600 * i for i in range(24)]
+    site.land(WEATHER, *[shapes.document(shapes.weather_element(*PLACE, dt=h)) for h in hours])
+    staging, landing = site.lake.staging(WEATHER), str(site.folder / "landing" / "weather")
+
+    def run():
+        query = ingest(site.spark, landing, WEATHER, staging, site.lake.checkpoint("weather"), max_files=2)
+        query.awaitTermination()
+        return len(site.spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId)))
+
+    def lists():
+        return {file.name for file in (site.folder / "lake").glob("staging_weather-days/batch=*/*.parquet")}
+
+    assert run() <= 2 * 12 + 11  # names and documents; the first batch looks at the folder
+    assert site.staging(WEATHER).count() == 24 and len(site.staging(WEATHER).inputFiles()) == 12
+    days = site.spark.read.schema("record_date date, batch string").parquet(f"{staging}-days").collect()
+    assert len(days) == 12 and {r.record_date for r in days} == {dt.date(2024, 1, 1)}
+    before = lists()
+    commits = site.folder / "lake" / "checkpoints" / "weather" / "commits"
+    for commit in commits.glob("*11*"):  # as if the run had died before its last batch was done
+        commit.unlink()
+    run()
+    # a stream passes over a file it has seen, so the batch's list has a new name
+    assert len(lists()) == 12 and len(lists() - before) == 1 and site.staging(WEATHER).count() == 24
+
+
 def test_unloadable_documents_are_quarantined(site):
     good = shapes.document(shapes.weather_element(*PLACE))
     site.land(WEATHER, '{"results": []}', "no json", b"\xff\xfe\x00{", good, b"", " \n", f"{good}\n{{")
